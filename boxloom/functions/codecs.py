@@ -23,6 +23,11 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def field(name: str):
+    """Accessor for ``transform`` (a lambda in a loop would bind the last name)."""
+    return lambda struct: struct[name]
+
+
 def strings(*values: str) -> Column:
     return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
 
@@ -212,7 +217,7 @@ def entries_text(columns: list[str], entries: Column, missing: str | None = None
     """Aligned column texts of an entry array; NULL entries vanish or become ``missing``."""
     out = {}
     for c in columns:
-        values = F.transform(entries, lambda e, c=c: e[c])
+        values = F.transform(entries, field(c))
         if missing is None:
             values = F.filter(values, lambda v: v.isNotNull())
         else:

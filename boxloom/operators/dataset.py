@@ -269,7 +269,7 @@ def without_precision_issues(df: DataFrame) -> DataFrame:
     usable = (n > 0) & (F.size(F.col("_p.issue_types")) > 0)
     kept = F.filter(entries, lambda e: ~e["issue_types"].isin(PRECISION_ISSUES))
     staged = staged.withColumn("_k", F.when(usable, kept))
-    texts = {c: F.array_join(F.transform("_k", lambda e, c=c: e[c]), ",") for c in columns}
+    texts = {c: F.array_join(F.transform("_k", C.field(c)), ",") for c in columns}
     return _with_texts(staged, texts, usable).drop("_p", "_k")
 
 

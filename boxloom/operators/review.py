@@ -185,7 +185,7 @@ def corrected_rows(
     state = state.withColumn("_entries", F.when(F.col("_edited"), real).otherwise(F.col("_entries")))
     texts = {}
     for c in columns:
-        values = F.filter(F.transform("_entries", lambda e, c=c: e[c]), lambda v: v.isNotNull())
+        values = F.filter(F.transform("_entries", C.field(c)), lambda v: v.isNotNull())
         texts[c] = F.when(F.col("_edited"), C.aligned_text(c, values)).otherwise(F.col(c))
     return state.withColumns(texts).drop("_entries", "_edited")
 

@@ -1,4 +1,4 @@
 """Queries over the given tables, each with an independent SQL form."""
 
-from checks import boxes  # noqa: F401
+from checks import boxes, curation, publish  # noqa: F401
 from checks.registry import ORACLES, QUERIES  # noqa: F401
