@@ -216,3 +216,75 @@ w AS (
   FROM w JOIN h ON h.gk = w.gk AND h.rn = w.rn + 1),
 decided AS (SELECT n.*, w.owner FROM numbered n JOIN w USING (gk, rn)){merged}
 {select}"""
+
+
+# --- catalogs and content ---------------------------------------------------
+
+
+def products(spark: SparkSession, sf: str) -> DataFrame:
+    """Product catalog from part: list cells, mixed URL schemes, tags."""
+    key = F.col("p_partkey")
+    shared = (key * 7) % 500
+    extra = F.concat(
+        F.lit('["http://img.test/'), shared.cast("string"), F.lit('.jpg", "ftp://x", "https://img.test/p'),
+        key.cast("string"), F.lit('.jpg", "http://img.test/'), shared.cast("string"), F.lit('.jpg"]'),
+    )
+    main = F.when(key % 11 == 0, F.lit("ftp://img.test/none")).otherwise(
+        F.concat(F.lit(" http://img.test/"), (key % 700).cast("string"), F.lit(".jpg"))
+    )
+    tags = (
+        F.when(F.col("p_size") % 4 == 0, "['Women', 'dress']")
+        .when(F.col("p_size") % 4 == 1, '["men","Boy"]')
+        .when(F.col("p_size") % 4 == 2, "['kids']")
+        .otherwise("['Lady', 'male']")
+    )
+    return table(spark, sf, "part").select(
+        key.alias("pos"), key.cast("string").alias("product_id"), F.col("p_name").alias("title"), F.col("p_brand").alias("brand"),
+        F.concat(F.lit("['"), F.col("p_type"), F.lit("', 'ALL']")).alias("category"),
+        F.when(F.col("p_size") % 3 == 0, "Women").when(F.col("p_size") % 3 == 1, "Men").otherwise("Unisex").alias("gender"),
+        main.alias("main_image_url"), F.when(key % 5 != 0, extra).alias("additional_image_url"), tags.alias("tags"),
+        F.lit("").alias("name"), F.col("p_size"),
+    )
+
+
+def content(spark: SparkSession, sf: str) -> DataFrame:
+    """Image content stand-in: documents and the md5 of their text."""
+    d = table(spark, sf, "documents")
+    return d.select(
+        F.concat(F.lit("doc://"), F.col("doc_id").cast("string")).alias("im_url"),
+        F.when(F.col("doc_id") % 19 == 0, "").otherwise(F.md5(F.col("text").cast("binary"))).alias("image_content_hash"),
+        F.col("doc_id").alias("pos"), F.col("lang").alias("category"), "n_chars", "source",
+    )
+
+
+def exclusions(spark: SparkSession, sf: str) -> DataFrame:
+    d = table(spark, sf, "documents").filter("doc_id % 17 = 0")
+    return d.select(F.md5(F.col("text").cast("binary")).alias("image_content_hash")).distinct()
+
+
+VIEWS.update(
+    {
+        "products": """
+  SELECT p_partkey AS pos, CAST(p_partkey AS VARCHAR) AS product_id, p_name AS title, p_brand AS brand, p_type AS primary_category,
+         CASE p_size % 3 WHEN 0 THEN 'Women' WHEN 1 THEN 'Men' ELSE 'Unisex' END AS gender, p_size
+  FROM part""",
+        "product_images": """
+  SELECT product_id, url AS im_url, min(n) AS n FROM (
+    SELECT product_id, 0 AS n, 'http://img.test/' || (pos % 700) || '.jpg' AS url FROM products WHERE pos % 11 <> 0
+    UNION ALL SELECT product_id, 1, 'http://img.test/' || (pos * 7 % 500) || '.jpg' FROM products WHERE pos % 5 <> 0
+    UNION ALL SELECT product_id, 2, 'https://img.test/p' || pos || '.jpg' FROM products WHERE pos % 5 <> 0)
+  GROUP BY product_id, url""",
+        "content": """
+  SELECT 'doc://' || doc_id AS im_url, CASE WHEN doc_id % 19 = 0 THEN '' ELSE md5(text) END AS image_content_hash, doc_id AS pos,
+         lang AS category, n_chars, source FROM documents""",
+        "exclusions": """
+  SELECT DISTINCT md5(text) AS image_content_hash FROM documents WHERE doc_id % 17 = 0""",
+        "ruled": """
+  SELECT i.im_url, p.product_id, p.gender, p.title, p.brand, p.primary_category,
+         CASE WHEN primary_category IN ('ECONOMY', 'PROMO') AND gender = 'Women' THEN 0
+              WHEN primary_category IN ('PROMO', 'SMALL') THEN 1 WHEN primary_category = 'LARGE' THEN 2 END AS rule
+  FROM products p JOIN product_images i USING (product_id)""",
+        "matched": """
+  SELECT r.* FROM ruled r WHERE r.rule = (SELECT min(q.rule) FROM ruled q WHERE q.im_url = r.im_url)""",
+    }
+)
