@@ -93,7 +93,8 @@ def category_budget(
         return allocated_budget(pools, total, smallest, largest)
     table = F.create_map(*[F.lit(x) for kv in wanted.items() for x in kv])
     marked = pools.withColumn("_fixed", F.try_element_at(table, F.lower(F.trim("category"))).cast("long"))
-    marked = marked.withColumn("_fixed", F.least(F.col("_fixed"), F.col("pool_size")))
+    # `least` skips NULL, so rows without a target are kept out of it.
+    marked = marked.withColumn("_fixed", F.when(F.col("_fixed").isNotNull(), F.least("_fixed", "pool_size")))
     matched = marked.agg(F.count("_fixed"), F.coalesce(F.sum("_fixed"), F.lit(0))).first()
     if matched[0] == 0:
         return allocated_budget(pools, total, smallest, largest)
