@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,3 +50,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and cut its lineage."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_packages(spark: SparkSession, *folders: str) -> None:
+    """Send Python packages to the workers, for clusters where they are not installed."""
+    context = spark.sparkContext
+    done = context.__dict__.setdefault("_shipped_packages", set())
+    for folder in [str(Path(__file__).parent), *folders]:
+        if folder in done:
+            continue
+        root = Path(folder)
+        archive = Path(tempfile.mkdtemp(prefix="boxloom-ship-")) / f"{root.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(root.rglob("*.py")):
+                out.write(source, source.relative_to(root.parent))
+        context.addPyFile(str(archive))
+        done.add(folder)

@@ -390,7 +390,6 @@ def w4(spark, sf):
 
 def flat_images(spark, sf) -> DataFrame:
     """Single-coloured images: every pixel byte is a letter chosen by the image id."""
-    letter = F.char(F.lit(65) + F.col("im_id") % 26)
     return images(spark, sf).select(
         "im_id", "image_h", "image_w", F.lit(3).alias("channels"),
         F.expr("cast(repeat(char(65 + im_id % 26), image_h * image_w * 3) as binary)").alias("pixels"),
@@ -403,6 +402,7 @@ def flat_images(spark, sf) -> DataFrame:
        CAST(least(image_w, x2) - x1 AS INTEGER) AS crop_w,
        md5(repeat(chr(CAST(65 + d.im_id % 26 AS INTEGER)), CAST((least(image_h, y2) - y1) * (least(image_w, x2) - x1) * 3 AS BIGINT))) AS crop_md5
        FROM detections d JOIN images i ON i.im_id = d.im_id WHERE least(image_h, y2) > y1 AND least(image_w, x2) > x1""",
+    python=True,
 )
 def g21(spark, sf):
     d = detections(spark, sf).join(images(spark, sf).select("im_id", "image_w", "image_h"), "im_id")

@@ -270,6 +270,7 @@ def new_store(spark, keys: list[str]) -> A.ResultStore:
     "u2_incremental",
     """SELECT conv_id, turn, CASE WHEN turn = 0 THEN 'cached' ELSE substr(md5(text), 1, 8) END AS digest FROM conversations
        WHERE turn = 0 OR (conv_id % 10 <> 7 AND conv_id % 9 <> 4)""",
+    python=True,
 )
 def u2(spark, sf):
     """First turns are in the store; the model runs for the others only."""
@@ -335,6 +336,7 @@ class SizeJudge(A.RowAnnotator):
     a AS (SELECT *, name <> 'bracelet' AS asked, CASE WHEN w > 0 AND h > 0 THEN w * h END AS area FROM b)
     SELECT im_id, pos, asked AS llm_validated, CASE WHEN asked AND area IS NOT NULL THEN area % 11 <> 0 AND area > 400 ELSE true END AS is_valid,
       CASE WHEN NOT asked OR area IS NULL THEN '' WHEN area % 11 = 0 THEN 'verification call failed' WHEN area > 400 THEN 'large' ELSE '[FLAGGED BLURRY] too blurry' END AS reason FROM a""",
+    python=True,
 )
 def u5(spark, sf):
     """Verify boxes of two classes; the third passes unasked."""
@@ -360,6 +362,7 @@ def load_detector():
 @query(
     "u4_detect",
     "SELECT im_id, CASE WHEN im_id % 5 = 0 THEN 0 ELSE 1 END AS boxes, CASE WHEN im_id % 5 <> 0 THEN CAST(image_w // 2 AS DOUBLE) END AS x2 FROM images",
+    python=True,
 )
 def u4(spark, sf):
     out = A.detected(images(spark, sf).select("im_id", "image_w", "image_h"), load_detector, batch=4)

@@ -1,9 +1,13 @@
+import os
 import sys
 from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+HERE = Path(__file__).resolve().parent
+sys.path.insert(0, str(HERE.parent))
+# Python workers import the models that tests define.
+os.environ["PYTHONPATH"] = os.pathsep.join([str(HERE), str(HERE.parent), os.environ.get("PYTHONPATH", "")])
 
 
 @pytest.fixture(scope="session")
