@@ -137,15 +137,13 @@ def _shift_inside(lo: Column, hi: Column, size: Column) -> tuple[Column, Column]
 
     A NULL size means the image size is unknown: only the lower edge is clamped.
     """
+    first = F.greatest(lo, F.lit(0.0))
+    last = hi - F.least(lo, F.lit(0.0))
+    low = F.greatest(F.lit(0.0), first - F.greatest(F.lit(0.0), last - size))
     known = size.isNotNull()
-    hi_1 = F.when(known & (lo < 0), hi - lo).otherwise(hi)
-    lo_1 = F.when(known & (lo < 0), F.lit(0.0)).otherwise(lo)
-    over = known & (hi_1 > size)
-    lo_2 = F.greatest(F.lit(0.0), F.when(over, lo_1 - (hi_1 - size)).otherwise(lo_1))
-    hi_2 = F.when(over, size).otherwise(hi_1)
     return (
-        F.when(known, F.least(size, lo_2)).otherwise(lo_2),
-        F.when(known, F.least(size, hi_2)).otherwise(hi_2),
+        F.when(known, F.least(size, low)).otherwise(first),
+        F.when(known, F.least(size, last)).otherwise(hi),
     )
 
 

@@ -43,9 +43,9 @@ def exploded_detections(df: DataFrame, detections: str = "detections") -> DataFr
 
 
 def overlap_clusters(
-    df: DataFrame, iou: float, image: str = "im_id", pos: str = "pos", limit: int = groups.GROUP_LIMIT
+    df: DataFrame, iou: float, image: str = "im_id", pos: str = "pos", limit: int | None = groups.GROUP_LIMIT
 ) -> DataFrame:
-    """Add ``cluster_id`` (0-based per image) to every box."""
+    """Add ``cluster_id`` (0-based per image) and ``cluster_size`` to every box."""
     small, large = groups.split_by_size(df, [image], limit)
     out = _fold_clusters(small, iou, image, pos)
     if large is not None:
@@ -80,7 +80,8 @@ def _component_labels(boxes: Column, iou: float) -> Column:
 
 
 def _fold_clusters(df: DataFrame, iou: float, image: str, pos: str) -> DataFrame:
-    row = F.struct(*[F.col(c) for c in df.columns])
+    rest = [c for c in df.columns if c != image]
+    row = F.struct(*[F.col(c) for c in rest])
     element = F.struct(F.col(pos).alias("at"), *G.Box._fields, row.alias("row"))
     gathered = df.groupBy(image).agg(F.sort_array(F.collect_list(element)).alias("boxes"))
 
@@ -91,16 +92,23 @@ def _fold_clusters(df: DataFrame, iou: float, image: str, pos: str) -> DataFrame
                 F.array_sort(F.array_distinct(labels)),
                 lambda order: F.transform(
                     boxes,
-                    lambda b, i: F.struct(
-                        b["row"].alias("row"),
-                        (F.array_position(order, F.get(labels, i)) - 1).cast("int").alias("cluster_id"),
+                    lambda b, i: let(
+                        F.get(labels, i),
+                        lambda mine: F.struct(
+                            b["row"].alias("row"),
+                            (F.array_position(order, mine) - 1).cast("int").alias("cluster_id"),
+                            F.size(F.filter(labels, lambda other: other == mine)).alias("cluster_size"),
+                        ),
                     ),
                 ),
             ),
         )
 
-    exploded = gathered.select(F.explode(let(F.col("boxes"), numbered)).alias("_e"))
-    return exploded.select("_e.row.*", "_e.cluster_id")
+    # The image column is the grouping column, so later work per image needs no shuffle.
+    exploded = gathered.select(image, F.explode(let(F.col("boxes"), numbered)).alias("_e"))
+    return exploded.select(
+        *[F.col(c) if c == image else F.col("_e.row")[c].alias(c) for c in df.columns], "_e.cluster_id", "_e.cluster_size"
+    )
 
 
 def _node_columns(iou: float, pos: str) -> list[Column]:
@@ -156,6 +164,8 @@ def _graph_clusters(df: DataFrame, iou: float, image: str, pos: str) -> DataFram
     labelled = groups.join_on(placed, labels, [image, "node"])
     numbers = groups.ordered_rank(labels.select(image, "label").distinct(), [image], "label", "_n")
     numbers = numbers.select(image, "label", (F.col("_n") - 1).cast("int").alias("cluster_id"))
+    sizes = labelled.groupBy(image, "label").agg(F.count(F.lit(1)).cast("int").alias("cluster_size"))
+    numbers = groups.join_on(numbers, sizes, [image, "label"])
     return groups.join_on(labelled, numbers, [image, "label"]).drop("node", "label")
 
 
@@ -186,27 +196,22 @@ def _spread_labels(nodes: DataFrame, edges: DataFrame, image: str) -> DataFrame:
 def cluster_summary(df: DataFrame, image: str = "im_id", carry: list[str] | None = None) -> DataFrame:
     """One row per cluster: size, best box, runner-up score, margin and uncertainty.
 
-    Size is a combining aggregate; the two best boxes come from a constant
-    rank limit, which is applied before the shuffle.
+    Takes the result of ``overlap_clusters``.  The two best boxes come from a
+    constant rank limit, which cuts large clusters before any shuffle.
     """
     keys = [image, "cluster_id"]
-    carry = carry or []
     best = W.partitionBy(*keys).orderBy(F.col("score").desc(), F.col("pos"))
     top_two = df.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= 2)
     first = F.col("_rank") == 1
     box = F.array(*[F.col(c).cast("int") for c in G.Box._fields])
     tops = top_two.groupBy(*keys).agg(
-        *[F.max(F.when(first, F.col(c))).alias(c) for c in carry],
+        *[F.max(F.when(first, F.col(c))).alias(c) for c in carry or []],
+        F.max("cluster_size").alias("cluster_size"),
         F.max(F.when(first, F.col("name"))).alias("top_class"),
         F.max(F.when(first, F.col("score"))).alias("top_score"),
         F.coalesce(F.max(F.when(~first, F.col("score"))), F.lit(0.0)).alias("second_score"),
         F.max(F.when(first, box)).alias("top_box"),
         F.max(F.when(first, F.col("pos"))).alias("top_pos"),
     )
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("cluster_size"))
     margin = F.when(F.col("cluster_size") > 1, F.col("top_score") - F.col("second_score")).otherwise(F.col("top_score"))
-    return (
-        groups.join_on(tops, sizes, keys)
-        .withColumn("margin", margin)
-        .withColumn("uncertainty", F.lit(1.0) - F.col("margin"))
-    )
+    return tops.withColumn("margin", margin).withColumn("uncertainty", F.lit(1.0) - F.col("margin"))

@@ -383,7 +383,7 @@ def only_products(df: DataFrame, products: DataFrame) -> DataFrame:
     return groups.join_on(df, products.select("product").distinct(), ["product"], "left_semi")
 
 
-def product_json(df: DataFrame, limit: int = groups.GROUP_LIMIT) -> DataFrame:
+def product_json(df: DataFrame, limit: int | None = groups.ROW_LIMIT) -> DataFrame:
     """One JSON item list per product, in input order; huge products come in several parts."""
     from boxloom.operators.rollup import gathered
 

@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 
 from boxloom.session import checkpointed
 
-# Rows of one key that may be gathered into one array.
+# Rows of one key that may be gathered and compared with each other in one array.
 GROUP_LIMIT = 1024
+# Rows of one key that may be gathered into one output row.
+ROW_LIMIT = 50_000
 # Rows a side may have to be broadcast; beyond it the join is salted instead.
 BROADCAST_ROWS = 200_000
 SALTS = 64
@@ -63,9 +65,12 @@ def large_groups(df: DataFrame, keys: list[str], limit: int = GROUP_LIMIT) -> Da
     return checkpointed(counts)
 
 
-def split_by_size(df: DataFrame, keys: list[str], limit: int = GROUP_LIMIT):
-    """(rows of small groups, rows of large groups or None)."""
-    large = large_groups(df, keys, limit)
+def split_by_size(df: DataFrame, keys: list[str], limit: int | None = GROUP_LIMIT):
+    """(rows of small groups, rows of large groups or None).
+
+    ``limit=None``: the caller has already seen that no group is large.
+    """
+    large = large_groups(df, keys, limit) if limit is not None else None
     if large is None:
         return df, None
     heads = large.select(*keys)
@@ -112,8 +117,11 @@ def hashed_rank(
     return _rank_in_buckets(bucketed, keys, "_bucket", [F.col(hash_column), F.col(tie)], rank)
 
 
+FAN = 64
+
+
 def ordered_rank(
-    df: DataFrame, keys: list[str], order: str, rank: str = "rank", pieces: int = 4096
+    df: DataFrame, keys: list[str], order: str, rank: str = "rank", pieces: int = FAN * FAN
 ) -> DataFrame:
     """1-based position of every row of its key in the order of a unique numeric column.
 
@@ -123,29 +131,26 @@ def ordered_rank(
     borders = df.groupBy(*keys).agg(
         F.array_distinct(F.percentile_approx(F.col(order), steps, pieces * 4)).alias("_borders")
     )
-    placed = attach_one_per_key(df, borders, keys).withColumn(
-        "_bucket", _bucket_of(F.col("_borders"), F.col(order))
-    )
-    return _rank_in_buckets(placed.drop("_borders"), keys, "_bucket", [F.col(order)], rank)
-
+    # Every FAN-th border first, so a row is compared with about 2 * FAN of them.
+    coarse = F.filter("_borders", lambda b, i: i % FAN == FAN - 1)
+    placed = attach_one_per_key(df, borders.withColumn("_coarse", coarse), keys)
+    placed = placed.withColumn("_skip", F.size(F.filter("_coarse", lambda b: b < F.col(order))) * FAN)
+    fine = F.filter(F.slice("_borders", F.col("_skip") + 1, F.lit(FAN)), lambda b: b < F.col(order))
+    placed = placed.withColumn("_bucket", F.col("_skip") + F.size(fine))
+    return _rank_in_buckets(placed.drop("_borders", "_coarse", "_skip"), keys, "_bucket", [F.col(order)], rank)
 
-def _bucket_of(borders: Column, value: Column) -> Column:
-    """Number of borders below ``value``."""
-    return F.size(F.filter(borders, lambda b: b < value))
 
-
-def with_part(df: DataFrame, keys: list[str], order: str, limit: int = GROUP_LIMIT) -> DataFrame:
+def with_part(df: DataFrame, keys: list[str], order: str, limit: int | None = ROW_LIMIT) -> DataFrame:
     """Add ``part``: 0 for ordinary keys, consecutive ranges of ``order`` for large keys.
 
-    Grouping by (keys, part) then never gathers more than about ``limit`` rows,
-    and no row is dropped: a large key simply yields several parts in order.
+    Grouping by (keys, part) then never gathers more than ``limit`` rows, and
+    no row is dropped: a large key simply yields several parts in order.
+    ``limit=None``: the caller has already seen that no key is large.
     """
-    large = large_groups(df, keys, limit)
+    small, large = split_by_size(df, keys, limit)
+    small = small.withColumn("part", F.lit(0))
     if large is None:
-        return df.withColumn("part", F.lit(0))
-    heads = large.select(*keys)
-    small = join_on(df, heads, keys, "left_anti").withColumn("part", F.lit(0))
-    big = join_on(df, heads, keys, "left_semi")
-    ranked = ordered_rank(big, keys, order, "_rank")
-    big = ranked.withColumn("part", F.floor((F.col("_rank") - 1) / F.lit(limit)).cast("int")).drop("_rank")
-    return small.unionByName(big)
+        return small
+    ranked = ordered_rank(checkpointed(large), keys, order, "_rank")
+    part = F.floor((F.col("_rank") - 1) / F.lit(limit)).cast("int")
+    return small.unionByName(ranked.withColumn("part", part).drop("_rank"))

@@ -42,7 +42,7 @@ def without_overlapped(
     predicate: Predicate,
     image: str = "im_id",
     pos: str = "pos",
-    limit: int = groups.GROUP_LIMIT,
+    limit: int | None = groups.GROUP_LIMIT,
 ) -> DataFrame:
     """Rows of ``boxes`` that no suppressor row of the same image hits.
 

@@ -15,7 +15,7 @@ IMAGE_ROW = [
 ]
 
 
-def gathered(df: DataFrame, keys: list[str], order: str, element: Column, limit: int = groups.GROUP_LIMIT) -> DataFrame:
+def gathered(df: DataFrame, keys: list[str], order: str, element: Column, limit: int | None = groups.ROW_LIMIT) -> DataFrame:
     """Ordered array ``items`` per key; very large keys come in several numbered parts."""
     parted = groups.with_part(df, keys, order, limit)
     listed = parted.groupBy(*keys, "part").agg(
@@ -30,7 +30,7 @@ def image_rows(
     status: str = "no_issue",
     source: str = "model",
     order: str = "pos",
-    limit: int = groups.GROUP_LIMIT,
+    limit: int | None = groups.ROW_LIMIT,
 ) -> DataFrame:
     """Image rows with the seven aligned columns as text, plus ``part``.
 
@@ -83,7 +83,7 @@ def image_rows(
 
 
 def annotated_rows(
-    images: DataFrame, boxes: DataFrame, key: str = "im_id", limit: int = groups.GROUP_LIMIT
+    images: DataFrame, boxes: DataFrame, key: str = "im_id", limit: int | None = groups.ROW_LIMIT
 ) -> DataFrame:
     """Input rows with their final boxes as ``concepts``/``boxes`` text.
 

@@ -160,12 +160,16 @@ def _fold(
     """Survivors of groups that fit one array."""
     gathered = df.groupBy(*group).agg(F.collect_list(element).alias("boxes"))
     raw = let(F.col("boxes"), _enclosing_last) if enclosing else F.col("boxes")
-    return gathered.select(F.explode(let(F.sort_array(raw), lambda b: _kept(b, overlap, merge))).alias("kept"))
+    return gathered.select(*group, F.explode(let(F.sort_array(raw), lambda b: _kept(b, overlap, merge))).alias("kept"))
 
 
-def _rows(kept: DataFrame, columns: list[str], source: str | None) -> DataFrame:
+def _rows(kept: DataFrame, group: list[str], columns: list[str], source: str | None) -> DataFrame:
+    # Group columns stay the grouping columns: later work per group needs no shuffle.
     out = []
     for c in columns:
+        if c in group:
+            out.append(F.col(c))
+            continue
         if c == source:
             named = F.filter(F.col("kept.labels"), lambda s: s != "")
             out.append(F.array_join(named, ", ").alias(c))
@@ -181,7 +185,7 @@ def greedy_suppress(
     position: str = "pos",
     source: str | None = None,
     enclosing: bool = False,
-    limit: int = groups.GROUP_LIMIT,
+    limit: int | None = groups.GROUP_LIMIT,
 ) -> DataFrame:
     """Rows that survive greedy suppression inside each group.
 
@@ -194,7 +198,7 @@ def greedy_suppress(
         df = df.withColumn("by_enclosing", F.lit(False))
     small, large = groups.split_by_size(df, group, limit)
     element = _element(df.columns, position, source)
-    out = _rows(_fold(small, group, element, overlap, source is not None, enclosing), df.columns, source)
+    out = _rows(_fold(small, group, element, overlap, source is not None, enclosing), group, df.columns, source)
     if large is not None:
         if enclosing:
             large = _flag_enclosing(groups.checkpointed(large), group, position)
@@ -247,7 +251,7 @@ def _suppress_prefixes(
             pending.withColumn("_rank", F.row_number().over(by_priority)).filter(F.col("_rank") <= limit).drop("_rank")
         )
         kept = groups.checkpointed(_fold(head, group, element, overlap, source is not None, False))
-        winners = kept.groupBy(*[F.col("kept.row")[g].alias(g) for g in group]).agg(
+        winners = kept.groupBy(*group).agg(
             F.sort_array(F.collect_list(F.struct("kept.key", "kept.at", "kept.b"))).alias("winners")
         )
         reach = head.groupBy(*group).agg(F.max(my_key).alias("reach"))
@@ -259,7 +263,7 @@ def _suppress_prefixes(
         judged = groups.checkpointed(later.withColumn("_owner", first_hit).drop("winners", "reach"))
         pending = judged.filter(F.col("_owner").isNull()).select(*columns)
         rounds.append(_with_later_labels(kept, judged, group, my_key, source) if source else kept)
-    return _rows(reduce(DataFrame.unionByName, rounds), columns, source)
+    return _rows(reduce(DataFrame.unionByName, rounds), group, columns, source)
 
 
 def _with_later_labels(
@@ -275,11 +279,11 @@ def _with_later_labels(
         .groupBy(*group, "at")
         .agg(F.sort_array(F.collect_list(F.struct("when", "label"))).alias("late"))
     )
-    flat = kept.select(*[F.col("kept.row")[g].alias(g) for g in group], F.col("kept.at").alias("at"), "kept")
+    flat = kept.select(*group, F.col("kept.at").alias("at"), "kept")
     joined = groups.join_on(flat, per_owner, [*group, "at"], "left")
     late = F.coalesce(F.transform(F.col("late"), lambda x: x["label"]), F.array().cast("array<string>"))
     labels = F.array_distinct(F.concat(F.col("kept.labels"), late))
-    return joined.select(F.col("kept").withField("labels", labels).alias("kept"))
+    return joined.select(*group, F.col("kept").withField("labels", labels).alias("kept"))
 
 
 # --- the suppression operators ----------------------------------------------
@@ -310,7 +314,7 @@ def _policy_keys(df: DataFrame, keep: Column) -> DataFrame:
 
 
 def suppress_by_policy(
-    df: DataFrame, policies: dict[str, Policy], image: str = "im_id", limit: int = groups.GROUP_LIMIT
+    df: DataFrame, policies: dict[str, Policy], image: str = "im_id", limit: int | None = groups.GROUP_LIMIT
 ) -> DataFrame:
     """Greedy suppression per (image, class) under per-class policies.
 
@@ -343,7 +347,7 @@ def _with_thresholds(df: DataFrame, iou: float, io_min: float | None, k0: Column
 
 
 def suppress_smallest_first(
-    df: DataFrame, iou: float = 0.7, io_min: float = 0.7, image: str = "im_id", limit: int = groups.GROUP_LIMIT
+    df: DataFrame, iou: float = 0.7, io_min: float = 0.7, image: str = "im_id", limit: int | None = groups.GROUP_LIMIT
 ) -> DataFrame:
     """Per (image, class): smaller boxes win."""
     ready = _with_thresholds(df, iou, io_min, G.area(G.box()))
@@ -351,7 +355,7 @@ def suppress_smallest_first(
 
 
 def suppress_same_class(
-    df: DataFrame, class_map: dict[str, str], iou: float, image: str = "im_id", limit: int = groups.GROUP_LIMIT
+    df: DataFrame, class_map: dict[str, str], iou: float, image: str = "im_id", limit: int | None = groups.GROUP_LIMIT
 ) -> DataFrame:
     """Per (image, mapped class): higher scores win; unmapped classes pass."""
     mapped = F.lit(None).cast("string")
@@ -364,7 +368,7 @@ def suppress_same_class(
 
 
 def suppress_ground_truth(
-    df: DataFrame, iou: float, image: str = "im_id", limit: int = groups.GROUP_LIMIT
+    df: DataFrame, iou: float, image: str = "im_id", limit: int | None = groups.GROUP_LIMIT
 ) -> DataFrame:
     """Per (image, class): larger annotated boxes win."""
     b = G.box()
@@ -373,7 +377,7 @@ def suppress_ground_truth(
 
 
 def suppress_inclusive(
-    df: DataFrame, iou: float, group: list[str] | None = None, limit: int = groups.GROUP_LIMIT
+    df: DataFrame, iou: float, group: list[str] | None = None, limit: int | None = groups.GROUP_LIMIT
 ) -> DataFrame:
     """Detector form: pixel-inclusive IoU strictly above ``iou`` suppresses; higher scores win."""
     ready = _with_thresholds(df, iou, None, -F.col("score"))
@@ -381,7 +385,7 @@ def suppress_inclusive(
 
 
 def suppress_across_classes(
-    df: DataFrame, rules: dict[str, list[str]], iou: float, image: str = "im_id", limit: int = groups.GROUP_LIMIT
+    df: DataFrame, rules: dict[str, list[str]], iou: float, image: str = "im_id", limit: int | None = groups.GROUP_LIMIT
 ) -> DataFrame:
     """A class removes overlapping boxes of the classes listed for it.
 
@@ -400,7 +404,7 @@ def suppress_across_classes(
 
 
 def clean_before_suppression(
-    df: DataFrame, iou: float = PRIORITY_IOU, image: str = "im_id", limit: int = groups.GROUP_LIMIT
+    df: DataFrame, iou: float = PRIORITY_IOU, image: str = "im_id", limit: int | None = groups.GROUP_LIMIT
 ) -> DataFrame:
     """Drop class ``other`` and every box that the priority class covers (IoU strictly above ``iou``)."""
     named = df.filter(F.lower(F.coalesce(F.col("name"), F.lit(""))) != "other")

@@ -35,11 +35,22 @@ def stored_boxes(images: DataFrame) -> DataFrame:
     )
 
 
-def cleaned_boxes(boxes: DataFrame, sizes: DataFrame, policies: dict[str, S.Policy]) -> DataFrame:
+def group_limit(boxes: DataFrame) -> int | None:
+    """One look at the box counts per image; None when every image is small.
+
+    Later steps only remove boxes or group more finely, so they need no look
+    of their own.
+    """
+    return None if groups.large_groups(boxes, ["im_id"]) is None else groups.GROUP_LIMIT
+
+
+def cleaned_boxes(
+    boxes: DataFrame, sizes: DataFrame, policies: dict[str, S.Policy], limit: int | None = groups.GROUP_LIMIT
+) -> DataFrame:
     """Global cleanup, suppression by policy, minimum class area."""
-    kept = S.clean_before_suppression(boxes)
+    kept = S.clean_before_suppression(boxes, limit=limit)
     if policies:
-        kept = S.suppress_by_policy(kept, policies)
+        kept = S.suppress_by_policy(kept, policies, limit=limit)
     sized = groups.join_on(kept, sizes.select("im_id", "image_w", "image_h"), ["im_id"], "left")
     grown = G.grown_to_area(G.box(), G.min_area_for(F.col("name")), F.col("image_w"), F.col("image_h"))
     return sized.withColumns({c: v for c, v in zip(G.Box._fields, grown)})
@@ -61,13 +72,15 @@ def annotated_dataset(
     """
     if run_mode(mode) == "detection_only":
         return boxes
-    final = cleaned_boxes(boxes, images, plan.policies)
+    limit = group_limit(boxes)
+    final = cleaned_boxes(boxes, images, plan.policies, limit)
     if judge is not None:
         capped = checkpointed(S.cap_boxes(final, plan.per_class, plan.per_image))
         final = annotate.verified_boxes(
             capped, judge, store, plan.settings, settings_hash, plan.verify_classes
         ).filter("is_valid")
-    return rollup.annotated_rows(images, final.drop("image_w", "image_h"))
+    row_limit = groups.ROW_LIMIT if limit else None
+    return rollup.annotated_rows(images, final.drop("image_w", "image_h"), limit=row_limit)
 
 
 def described(images: DataFrame) -> DataFrame:
@@ -81,7 +94,8 @@ def curated_issues(
     boxes: DataFrame, annotations: DataFrame, relevant: list[str], iou: float, min_score: float = 0.3
 ) -> DataFrame:
     """Cluster detections, classify issues, roll up to image rows."""
-    summary = clusters.cluster_summary(clusters.overlap_clusters(boxes, iou))
+    # The summary feeds the precision and the recall side.
+    summary = checkpointed(clusters.cluster_summary(clusters.overlap_clusters(boxes, iou)))
     table = issues.issue_table(summary, annotations, relevant, min_score)
     return rollup.image_rows(table)
 
