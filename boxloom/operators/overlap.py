@@ -22,20 +22,30 @@ def frame_box(df: DataFrame) -> G.Box:
     return G.Box(df["x1"], df["y1"], df["x2"], df["y2"])
 
 
-def gridded(df: DataFrame, image: str, pos: str) -> DataFrame:
-    """One row per (box, touched cell) with columns cx, cy; meant for large images."""
+def gridded(df: DataFrame, keys: list[str], pad: float = 0.0) -> DataFrame:
+    """One row per (box, touched cell) with columns cell, cx, cy and the number of cells.
+
+    Meant for large groups.  Cell size is the mean box of the group; ``pad``
+    widens boxes to the right and bottom.
+    """
     b = G.box()
-    sizes = df.groupBy(image).agg(
+    wide = G.Box(b.x1, b.y1, b.x2 + pad, b.y2 + pad)
+    sizes = df.groupBy(*keys).agg(
         F.greatest(
-            F.sqrt(F.avg(G.area(b))), F.avg(G.width(b)), F.avg(G.height(b)), F.lit(1e-6)
+            F.sqrt(F.avg(G.area(wide))), F.avg(G.width(wide)), F.avg(G.height(wide)), F.lit(1e-6)
         ).alias("cell")
     )
-    placed = groups.attach_one_per_key(df, sizes, [image])
-    return placed.withColumn("_c", F.explode(G.grid_cells(b, F.col("cell")))).select(
-        *[F.col(c) for c in df.columns], F.col("cell"), F.col("_c.cx").alias("cx"), F.col("_c.cy").alias("cy")
+    placed = groups.attach_one_per_key(df, sizes, keys).withColumn("_cells", G.grid_cells(wide, F.col("cell")))
+    return placed.select(
+        *df.columns, "cell", F.size("_cells").alias("cells"), F.inline("_cells")
     )
 
 
+def once_per_pair(a: G.Box, b: G.Box, cell: Column, cx: Column, cy: Column) -> Column:
+    """True in exactly one of the cells two overlapping boxes share: that of their common corner."""
+    return (F.floor(F.greatest(a.x1, b.x1) / cell) == cx) & (F.floor(F.greatest(a.y1, b.y1) / cell) == cy)
+
+
 def without_overlapped(
     boxes: DataFrame,
     suppressors: Callable[[DataFrame], DataFrame],
@@ -59,7 +69,7 @@ def without_overlapped(
     kept = small.join(right, (small[image] == right[f"s_{image}"]) & predicate(small, right), "left_anti")
     if large is None:
         return kept
-    cells = gridded(groups.checkpointed(large), image, pos)
+    cells = gridded(groups.checkpointed(large), [image])
     right = prefixed(suppressors(cells))
     hit = cells.join(
         right,

@@ -6,12 +6,14 @@ it is not a plain join.  Two exact plans are used:
 
 * groups of ordinary size are gathered once (one shuffle) and decided by a
   fold over the sorted array, inside the JVM;
-* larger groups are decided in priority prefixes: the next ``GROUP_LIMIT``
-  boxes are folded, the kept ones go out to all remaining boxes of the group
-  (spread over all tasks) and remove what they overlap, and so on.  A decision
-  about a prefix never depends on later boxes, so the outcome is the same as
-  one long walk.  (Prefix processing of greedy independent sets: Blelloch,
-  Fineman, Shun, SPAA 2012.)
+* larger groups are spread over grid cells and decided in rounds.  A box that
+  beats every undecided box of all its cells is kept; it removes what it
+  overlaps there.  A cell has at most one such box per round, so a round is
+  linear in the boxes.  Where this no longer removes much, few overlaps are
+  left: they become a conflict table, and a box is kept once no undecided
+  better box conflicts with it.  Both steps only take decisions that the long
+  walk would take too.  (Parallel greedy independent sets: Blelloch, Fineman,
+  Shun, SPAA 2012.)
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from boxloom.functions import geometry as G
 from boxloom.functions.codecs import let
 from boxloom.functions.text import class_key
 from boxloom.operators import groups
-from boxloom.operators.overlap import frame_box, gridded, suppressor_box, without_overlapped
+from boxloom.operators.overlap import frame_box, gridded, once_per_pair, suppressor_box, without_overlapped
 
 CORNERS = ["x1", "y1", "x2", "y2"]
 # Columns the plans below add to a box table; dropped from every result.
@@ -200,31 +202,40 @@ def greedy_suppress(
     element = _element(df.columns, position, source)
     out = _rows(_fold(small, group, element, overlap, source is not None, enclosing), group, df.columns, source)
     if large is not None:
+        pad = 1.0 if overlap is by_inclusive_iou else 0.0
+        large = groups.checkpointed(large)
         if enclosing:
-            large = _flag_enclosing(groups.checkpointed(large), group, position)
-        out = out.unionByName(_suppress_prefixes(large, group, overlap, position, source, limit))
+            large = _flag_enclosing(large, group, position)
+        out = out.unionByName(_suppress_in_rounds(large, group, overlap, position, source, pad).select(*out.columns))
     return out
 
 
-def _flag_enclosing(rows: DataFrame, group: list[str], position: str) -> DataFrame:
-    """Set ``k0`` of large groups by the enclosing rule.
+def _sides(cells: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame, Column]:
+    """A cell table twice, as ``a`` and ``b``, and the condition "same group, same cell"."""
+    same = [F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}")) for g in group]
+    same += [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("cx", "cy")]
+    return cells.alias("a"), cells.alias("b"), reduce(lambda x, y: x & y, same)
 
-    Pairs are counted where they are found and only for (group, cell) keys; the
-    cell that holds the lower left corner of the intersection counts a pair once.
-    """
-    cells = gridded(rows.withColumn("_g", F.xxhash64(*group)), "_g", position)
-    a = cells.filter("by_enclosing").alias("a")
-    o = cells.alias("o")
-    box_a, box_o = (G.Box(*(F.col(f"{s}.{c}") for c in CORNERS)) for s in ("a", "o"))
-    same = [F.col(f"a.{g}").eqNullSafe(F.col(f"o.{g}")) for g in [*group, "cx", "cy"]]
-    once = (F.floor(F.greatest(box_a.x1, box_o.x1) / F.col("a.cell")) == F.col("a.cx")) & (
-        F.floor(F.greatest(box_a.y1, box_o.y1) / F.col("a.cell")) == F.col("a.cy")
-    )
-    hits = (G.iou(box_a, box_o) >= F.col("a.t_iou")) | (G.io_min(box_a, box_o) >= F.col("a.t_min"))
+
+def _side_box(side: str) -> G.Box:
+    return G.Box(*(F.col(f"{side}.{c}") for c in CORNERS))
+
+
+def _side_struct(side: str) -> Column:
+    return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in (*CORNERS, "t_iou", "t_min")])
+
+
+def _flag_enclosing(rows: DataFrame, group: list[str], position: str) -> DataFrame:
+    """Set ``k0`` of large groups by the enclosing rule; overlaps are counted, not listed."""
+    a, o, same = _sides(gridded(rows, group), group)
+    a = a.filter("by_enclosing")
+    box_a, box_o = _side_box("a"), _side_box("b")
+    once = once_per_pair(box_a, box_o, F.col("a.cell"), F.col("a.cx"), F.col("a.cy"))
     smaller = G.ordering_area(box_o) < G.ordering_area(box_a)
+    hits = (G.iou(box_a, box_o) >= F.col("a.t_iou")) | (G.io_min(box_a, box_o) >= F.col("a.t_min"))
     keys = [*group, position]
     flagged = (
-        a.join(o, reduce(lambda x, y: x & y, same) & once & smaller & hits, "inner")
+        a.join(o, same & once & smaller & hits, "inner")
         .groupBy(*[F.col(f"a.{k}").alias(k) for k in keys])
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter("_n >= 2")
@@ -234,56 +245,115 @@ def _flag_enclosing(rows: DataFrame, group: list[str], position: str) -> DataFra
     return groups.join_on(rows, flagged, keys, "left").withColumn("k0", k0).select(*rows.columns)
 
 
-def _suppress_prefixes(
-    rows: DataFrame, group: list[str], overlap: Overlap, position: str, source: str | None, limit: int
+# A round of local winners must settle this share of the boxes, else conflicts are listed.
+WORTHWHILE = 0.15
+
+
+def _suppress_in_rounds(
+    rows: DataFrame, group: list[str], overlap: Overlap, position: str, source: str | None, pad: float
 ) -> DataFrame:
-    """Exact greedy suppression of large groups, one priority prefix per round."""
-    columns = rows.columns
-    element = _element(columns, position, source)
-    by_priority = W.partitionBy(*group).orderBy("k0", "k1", position)
-    my_key = F.struct(F.struct("k0", "k1").alias("key"), F.col(position).alias("at"))
-    me = F.struct(*CORNERS, "t_iou", "t_min", "by_enclosing")
-    pending = groups.checkpointed(rows)
-    rounds = []
-    while not pending.isEmpty():
-        # The constant limit lets Spark cut each group before the shuffle.
-        head = groups.checkpointed(
-            pending.withColumn("_rank", F.row_number().over(by_priority)).filter(F.col("_rank") <= limit).drop("_rank")
-        )
-        kept = groups.checkpointed(_fold(head, group, element, overlap, source is not None, False))
-        winners = kept.groupBy(*group).agg(
-            F.sort_array(F.collect_list(F.struct("kept.key", "kept.at", "kept.b"))).alias("winners")
-        )
-        reach = head.groupBy(*group).agg(F.max(my_key).alias("reach"))
-        state = groups.join_on(winners, reach, group)
-        later = groups.attach_one_per_key(pending, groups.checkpointed(state), group).filter(my_key > F.col("reach"))
-        first_hit = let(
-            me, lambda b: F.get(F.filter(F.col("winners"), lambda w: overlap(w["b"], b)), F.lit(0))["at"]
-        )
-        judged = groups.checkpointed(later.withColumn("_owner", first_hit).drop("winners", "reach"))
-        pending = judged.filter(F.col("_owner").isNull()).select(*columns)
-        rounds.append(_with_later_labels(kept, judged, group, my_key, source) if source else kept)
-    return _rows(reduce(DataFrame.unionByName, rounds), group, columns, source)
+    """Exact greedy suppression of large groups; see the module text."""
+    keys = [*group, position]
+    narrow = rows.select(*keys, F.struct("k0", "k1", position).alias("rank"), *CORNERS, "t_iou", "t_min")
+    cells = groups.checkpointed(gridded(narrow, group, pad))
+    kept: list[DataFrame] = []
+    pending, left = cells, narrow.count()
+    while left:
+        winners = groups.checkpointed(_local_winners(pending, group, position))
+        beaten = _beaten(pending, winners, keys, group, overlap, position)
+        decided = winners.select(*keys).unionByName(beaten)
+        pending = groups.checkpointed(groups.join_on(pending, decided, keys, "left_anti"))
+        kept.append(winners.select(*keys))
+        now = pending.select(*keys).distinct().count()
+        settled, left = left - now, now
+        if settled < WORTHWHILE * (settled + left):
+            break
+    if left:
+        kept.append(_conflict_free(pending, group, overlap, position))
+    chosen = groups.checkpointed(reduce(DataFrame.unionByName, kept))
+    out = groups.join_on(rows, chosen, keys, "left_semi")
+    if source is not None:
+        out = _with_merged_labels(out, rows, cells, chosen, group, overlap, position, source)
+    return out.drop(*HELPERS)
+
+
+def _local_winners(cells: DataFrame, group: list[str], position: str) -> DataFrame:
+    """Boxes that rank first in every cell they touch, one row per cell."""
+    me = F.struct("rank", position, "cells", *CORNERS)
+    best = cells.groupBy(*group, "cx", "cy").agg(F.min_by(me, F.col("rank")).alias("w"))
+    won = best.groupBy(*group, F.col("w").alias("w")).agg(F.count(F.lit(1)).alias("won"), F.collect_list(F.struct("cx", "cy")).alias("at"))
+    return won.filter(F.col("won") == F.col("w.cells")).select(*group, "w.*", F.inline("at"))
+
+
+def _beaten(
+    cells: DataFrame, winners: DataFrame, keys: list[str], group: list[str], overlap: Overlap, position: str
+) -> DataFrame:
+    """Boxes that a winner of one of their cells overlaps."""
+    sides = winners.select(
+        *group, "cx", "cy", F.col(position).alias("w_pos"), F.struct(*CORNERS).alias("w_box")
+    )
+    met = groups.join_on(cells, sides, [*group, "cx", "cy"])
+    me = F.struct(*CORNERS, "t_iou", "t_min")
+    return met.filter((F.col("w_pos") != F.col(position)) & overlap(F.col("w_box"), me)).select(*keys).distinct()
 
 
-def _with_later_labels(
-    kept: DataFrame, judged: DataFrame, group: list[str], my_key: Column, source: str
+def _conflict_free(cells: DataFrame, group: list[str], overlap: Overlap, position: str) -> DataFrame:
+    """Keys of the boxes kept among the undecided ones, by rounds over their conflicts."""
+    keys = [*group, position]
+    a, b, same = _sides(cells, group)
+    once = once_per_pair(_side_box("a"), _side_box("b"), F.col("a.cell"), F.col("a.cx"), F.col("a.cy"))
+    conflicts = a.join(
+        b, same & (F.col("a.rank") < F.col("b.rank")) & once & overlap(_side_struct("a"), _side_struct("b"))
+    ).select(*[F.col(f"a.{g}").alias(g) for g in group], F.col(f"a.{position}").alias("better"), F.col(f"b.{position}").alias("worse"))
+    conflicts = groups.checkpointed(conflicts)
+    undecided = groups.checkpointed(cells.select(*keys).distinct())
+    kept = []
+    while True:
+        waiting = conflicts.select(*group, F.col("worse").alias(position)).distinct()
+        free = groups.checkpointed(groups.join_on(undecided, waiting, keys, "left_anti"))
+        kept.append(free)
+        if conflicts.isEmpty():
+            return reduce(DataFrame.unionByName, kept)
+        by_free = groups.join_on(conflicts, free.withColumnRenamed(position, "better"), [*group, "better"], "left_semi")
+        lost = groups.checkpointed(by_free.select(*group, F.col("worse").alias(position)).distinct())
+        settled = free.unionByName(lost)
+        undecided = groups.checkpointed(groups.join_on(undecided, settled, keys, "left_anti"))
+        conflicts = groups.join_on(conflicts, settled.withColumnRenamed(position, "better"), [*group, "better"], "left_anti")
+        conflicts = groups.join_on(conflicts, lost.withColumnRenamed(position, "worse"), [*group, "worse"], "left_anti")
+        conflicts = groups.checkpointed(conflicts)
+
+
+def _with_merged_labels(
+    out: DataFrame, rows: DataFrame, cells: DataFrame, chosen: DataFrame, group: list[str], overlap: Overlap, position: str, source: str
 ) -> DataFrame:
-    """Add the labels of boxes suppressed after the prefix, in order of first hit."""
-    hits = judged.filter(F.col("_owner").isNotNull()).select(
-        *group, F.col("_owner").alias("at"), my_key.alias("when"), F.explode(_labels(source)).alias("label")
+    """Labels of each suppressed box go to the best kept box it overlaps, in order of rank.
+
+    Kept boxes do not overlap each other much, so a box meets few of them.
+    """
+    keys = [*group, position]
+    keepers = groups.join_on(cells, chosen, keys, "left_semi")
+    others = groups.join_on(cells, chosen, keys, "left_anti")
+    sides = keepers.select(
+        *group, "cx", "cy", F.col("rank").alias("w_rank"), F.struct(*CORNERS).alias("w_box")
+    )
+    me = F.struct(*CORNERS, "t_iou", "t_min")
+    met = groups.join_on(others, sides, [*group, "cx", "cy"]).filter(
+        (F.col("w_rank") < F.col("rank")) & overlap(F.col("w_box"), me)
     )
-    per_owner = (
-        hits.groupBy(*group, "at", "label")
-        .agg(F.min("when").alias("when"))
-        .groupBy(*group, "at")
-        .agg(F.sort_array(F.collect_list(F.struct("when", "label"))).alias("late"))
+    owner = met.groupBy(*keys).agg(F.min("w_rank").alias("w_rank"), F.min("rank").alias("rank"))
+    labelled = groups.join_on(owner, rows.select(*keys, _labels(source).alias("labels")), keys)
+    given = labelled.select(*group, F.col("w_rank")[position].alias("_at"), "rank", F.explode("labels").alias("label"))
+    per_box = (
+        given.groupBy(*group, "_at", "label")
+        .agg(F.min("rank").alias("rank"))
+        .groupBy(*group, "_at")
+        .agg(F.sort_array(F.collect_list(F.struct("rank", "label"))).alias("late"))
+        .withColumnRenamed("_at", position)
     )
-    flat = kept.select(*group, F.col("kept.at").alias("at"), "kept")
-    joined = groups.join_on(flat, per_owner, [*group, "at"], "left")
-    late = F.coalesce(F.transform(F.col("late"), lambda x: x["label"]), F.array().cast("array<string>"))
-    labels = F.array_distinct(F.concat(F.col("kept.labels"), late))
-    return joined.select(*group, F.col("kept").withField("labels", labels).alias("kept"))
+    joined = groups.join_on(out, per_box, keys, "left")
+    late = F.coalesce(F.transform("late", lambda x: x["label"]), F.array().cast("array<string>"))
+    merged = F.filter(F.array_distinct(F.concat(_labels(source), late)), lambda s: s != "")
+    return joined.withColumn(source, F.array_join(merged, ", ")).drop("late")
 
 
 # --- the suppression operators ----------------------------------------------
