@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -47,9 +48,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared checkpoint folder and read it back.
+
+    Cuts the lineage and survives lost executors.  Unlike a checkpointed plan,
+    the table brings fresh columns and its true size, so joins with small
+    results can be broadcast.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ship_packages(spark: SparkSession, *folders: str) -> None:
