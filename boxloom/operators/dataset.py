@@ -7,12 +7,12 @@ row-local array expressions: no shuffle, no Python.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from boxloom.functions import codecs as C
 from boxloom.functions.codecs import let
 from boxloom.operators import groups
+from boxloom.session import checkpointed
 
 # Classes of a published dataset, in report order.
 CLASSES = [
@@ -216,8 +216,8 @@ def split_rows(df: DataFrame, row_id: str = "row_id", seed: int = 42) -> DataFra
     computed in hash buckets, not in one sort per concept.  A per-stratum
     offset keeps small strata from all starting with the same split.
     """
-    support = prevalence(df).select("concept", "support")
-    # One row per concept: the vocabulary, not the data.
+    # One row per concept.  Written first, so the join knows its size.
+    support = checkpointed(prevalence(df).select("concept", "support"))
     exploded = df.select(row_id, F.explode_outer(C.distinct_concepts(F.col("concepts"))).alias("concept"))
     weighed = groups.join_on(exploded, support, ["concept"], "left")
     strata = weighed.groupBy(row_id).agg(
@@ -225,7 +225,8 @@ def split_rows(df: DataFrame, row_id: str = "row_id", seed: int = 42) -> DataFra
     )
     hashed = strata.select(row_id, F.col("m.c").alias("stratum"), groups.seeded_hash(F.col(row_id), seed).alias("_h"))
     ranked = groups.hashed_rank(hashed, ["stratum"], "_h", row_id, "_n")
-    slot = F.pmod(F.col("_n") - 1 + F.pmod(F.xxhash64("stratum"), F.lit(10)), F.lit(10))
+    offset = F.conv(F.substring(F.md5(F.col("stratum").cast("binary")), 1, 4), 16, 10).cast("int")
+    slot = F.pmod(F.col("_n") - 1 + offset, F.lit(10))
     split = F.when(slot < 8, "train").when(slot == 8, "val").otherwise("test")
     return groups.join_on(df, ranked.select(row_id, split.alias("split")), [row_id])
 

@@ -111,7 +111,11 @@ def category_budget(
 def stratified_sample(
     pool: DataFrame, budgets: DataFrame, id_column: str = "im_id", category: str = "category", seed: int = 42
 ) -> DataFrame:
-    """Per category the first ``budget`` rows in seeded order."""
+    """Per category the first ``budget`` rows in seeded order.
+
+    Budgets (one row per category) should be a written table, so that the join
+    on the uneven category column knows their size and need not shuffle rows.
+    """
     hashed = pool.withColumn("_h", groups.seeded_hash(F.col(id_column), seed))
     ranked = groups.hashed_rank(hashed, [category], "_h", id_column, "rank").drop("_h")
     limits = budgets.select(F.col("category").alias(category), "budget")

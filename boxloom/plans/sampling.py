@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from boxloom.operators import catalog, groups
 from boxloom.operators import sampling as S
+from boxloom.session import checkpointed
 
 
 def category_sample(
@@ -28,7 +29,8 @@ def category_sample(
     """
     pool = catalog.matched_rules(catalog.expanded_images(products, image, additional), rules, category, gender)
     pool = pool.withColumn("_row", F.concat_ws("|", F.col("product_id"), F.col("im_url")))
-    budgets = S.category_budget(catalog.pool_size(pool), total, smallest, largest, fixed)
+    pools = checkpointed(catalog.pool_size(pool))
+    budgets = checkpointed(S.category_budget(pools, total, smallest, largest, fixed))
     drawn = S.stratified_sample(pool, budgets, "_row", "category_clean", seed)
     keep = ["product_id", "category_clean", "matched_rule", "im_url"]
     keep += [c for c in ("gender", "title", "colour", "brand") if c in drawn.columns]

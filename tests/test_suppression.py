@@ -195,3 +195,40 @@ def test_cluster_summary_of_single_box(spark):
     df = frame(spark, [{"name": "a", "box": [0, 0, 10, 10], "score": 0.4}])
     row = clusters.cluster_summary(clusters.overlap_clusters(df, 0.5)).first()
     assert (row["second_score"], row["margin"], row["uncertainty"]) == (0.0, 0.4, 0.6)
+
+
+@pytest.mark.parametrize("share", [0.0, 2.0])
+def test_rounds_and_conflicts_agree(spark, monkeypatch, share):
+    """Only local winners, or conflicts from the second round on."""
+    monkeypatch.setattr(S, "WORTHWHILE", share)
+    boxes = crowd(150, 12)
+    out = S.suppress_by_policy(frame(spark, boxes), {"general": S.Policy(0.3, 0.6, "keep smallest")}, limit=10).collect()
+    expected = brute_greedy(
+        boxes, KEYS["keep smallest"], lambda a, b: iou(a, b)[0] >= 0.3 or iou(a, b)[1] >= 0.6, lambda b: (b["im"], b["name"])
+    )
+    assert {r["pos"]: r["source"] for r in out} == expected
+
+
+def test_inclusive_form_in_large_groups(spark):
+    """Boxes that only touch still overlap when edge pixels count."""
+    boxes = crowd(120, 21) + [{"name": "ring", "box": [200, 200, 200, 200], "score": 0.9, "source": "a"}, {"name": "ring", "box": [200.4, 200, 200.4, 200], "score": 0.8, "source": "a"}]
+    df = frame(spark, boxes)
+    assert kept(S.suppress_inclusive(df, 0.4, limit=10)) == kept(S.suppress_inclusive(df, 0.4))
+    assert 122 not in kept(S.suppress_inclusive(df, 0.4, limit=1))
+    assert kept(S.suppress_ground_truth(df, 0.4, limit=10)) == kept(S.suppress_ground_truth(df, 0.4))
+    assert kept(S.suppress_same_class(df, {"ring": "x"}, 0.4, limit=10)) == kept(S.suppress_same_class(df, {"ring": "x"}, 0.4))
+    assert kept(S.suppress_smallest_first(df, limit=10)) == kept(S.suppress_smallest_first(df))
+
+
+@pytest.mark.parametrize("limit", [1024, 15])
+def test_priority_class_in_large_images(spark, limit):
+    boxes = crowd(150, 33)
+    for i, b in enumerate(boxes):
+        b["name"] = "jewelry product" if i % 4 == 0 else b["name"]
+    expected = [
+        i + 1
+        for i, b in enumerate(boxes)
+        if b["name"] == "jewelry product"
+        or not any(a["name"] == "jewelry product" and a["im"] == b["im"] and iou(a["box"], b["box"])[0] > 0.2 for a in boxes)
+    ]
+    assert kept(S.clean_before_suppression(frame(spark, boxes), 0.2, limit=limit)) == expected
