@@ -105,13 +105,13 @@ class ResultStore:
 
     def stored(self, df: DataFrame) -> DataFrame:
         """Stored results for the keys of ``df``."""
-        return groups.join_on(self.read(), df.select(*self.keys).distinct(), self.keys, "left_semi")
+        return groups.join_null_safe(self.read(), df.select(*self.keys).distinct(), self.keys, "left_semi")
 
     def pending(self, df: DataFrame) -> DataFrame:
         """Rows of ``df`` whose key is not stored."""
         if not self.exists():
             return df
-        return groups.join_on(df, self.read().select(*self.keys).distinct(), self.keys, "left_anti")
+        return groups.join_null_safe(df, self.read().select(*self.keys).distinct(), self.keys, "left_anti")
 
     def compacted_to(self, path: str) -> "ResultStore":
         """Copy with one row per key."""

@@ -142,7 +142,7 @@ def _graph_clusters(df: DataFrame, iou: float, image: str, pos: str) -> DataFram
     quantised = df.select("*", *_node_columns(iou, pos))
     cell_keys = [image, *[f"_q{i}" for i in range(5)]]
     nodes = quantised.groupBy(*cell_keys).agg(F.min(pos).alias("node"))
-    placed = groups.checkpointed(groups.join_on(quantised, nodes, cell_keys).drop(*cell_keys[1:]))
+    placed = groups.checkpointed(groups.join_null_safe(quantised, nodes, cell_keys).drop(*cell_keys[1:]))
     # Identical boxes of a node find the same neighbours; one of them is enough.
     distinct_boxes = placed.select(image, "node", *G.Box._fields).distinct()
     cells = gridded(groups.checkpointed(distinct_boxes), [image])
@@ -161,12 +161,12 @@ def _graph_clusters(df: DataFrame, iou: float, image: str, pos: str) -> DataFram
         .distinct()
     )
     labels = _spread_labels(placed.select(image, "node").distinct(), groups.checkpointed(edges), image)
-    labelled = groups.join_on(placed, labels, [image, "node"])
+    labelled = groups.join_null_safe(placed, labels, [image, "node"])
     numbers = groups.ordered_rank(labels.select(image, "label").distinct(), [image], "label", "_n")
     numbers = numbers.select(image, "label", (F.col("_n") - 1).cast("int").alias("cluster_id"))
     sizes = labelled.groupBy(image, "label").agg(F.count(F.lit(1)).cast("int").alias("cluster_size"))
-    numbers = groups.join_on(numbers, sizes, [image, "label"])
-    return groups.join_on(labelled, numbers, [image, "label"]).drop("node", "label")
+    numbers = groups.join_null_safe(numbers, sizes, [image, "label"])
+    return groups.join_null_safe(labelled, numbers, [image, "label"]).drop("node", "label")
 
 
 def _spread_labels(nodes: DataFrame, edges: DataFrame, image: str) -> DataFrame:
@@ -181,20 +181,20 @@ def _spread_labels(nodes: DataFrame, edges: DataFrame, image: str) -> DataFrame:
     state = groups.checkpointed(nodes.withColumns({"parent": F.col("node"), "grand": F.col("node")}))
     while True:
         heard = (
-            groups.join_on(both, state.select(image, F.col("node").alias("v"), "grand"), [image, "v"])
+            groups.join_null_safe(both, state.select(image, F.col("node").alias("v"), "grand"), [image, "v"])
             .groupBy(image, F.col("u").alias("node"))
             .agg(F.min("grand").alias("low"))
         )
-        known = groups.checkpointed(groups.join_on(state, heard, [image, "node"], "left"))
+        known = groups.checkpointed(groups.join_null_safe(state, heard, [image, "node"], "left"))
         to_self = known.select(image, "node", F.least("parent", "grand", "low").alias("parent"))
         to_parent = known.filter("low is not null").select(image, F.col("parent").alias("node"), F.col("low").alias("parent"))
         lowered = to_self.unionByName(to_parent).groupBy(image, "node").agg(F.min("parent").alias("parent"))
         lowered = groups.checkpointed(lowered)
         parents = lowered.select(image, F.col("node").alias("parent"), F.col("parent").alias("grand"))
         # Many nodes share a parent: the parent side is unique, a hot one is split by the adaptive join.
-        after = groups.join_on(lowered, parents, [image, "parent"])
+        after = groups.join_null_safe(lowered, parents, [image, "parent"])
         before = known.select(image, "node", F.col("grand").alias("was"))
-        after = groups.checkpointed(groups.join_on(after, before, [image, "node"]))
+        after = groups.checkpointed(groups.join_null_safe(after, before, [image, "node"]))
         state = after.select(image, "node", "parent", "grand")
         if after.filter("grand <> was").isEmpty():
             return state.select(image, "node", F.col("grand").alias("label"))

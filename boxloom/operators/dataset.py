@@ -216,15 +216,15 @@ def split_rows(df: DataFrame, row_id: str = "row_id", seed: int = 42) -> DataFra
     computed in hash buckets, not in one sort per concept.  A per-stratum
     offset keeps small strata from all starting with the same split.
     """
-    # One row per concept.  Written first, so the join knows its size.
-    support = checkpointed(prevalence(df).select("concept", "support"))
     exploded = df.select(row_id, F.explode_outer(C.distinct_concepts(F.col("concepts"))).alias("concept"))
+    # One row per concept.  Written first, so the join knows its size.
+    support = checkpointed(exploded.groupBy("concept").agg(F.count(F.lit(1)).alias("s")))
     weighed = groups.join_on(exploded, support, ["concept"], "left")
     strata = weighed.groupBy(row_id).agg(
-        F.min(F.struct(F.coalesce("support", F.lit(0)).alias("s"), F.coalesce("concept", F.lit("")).alias("c"))).alias("m")
+        F.min(F.struct(F.coalesce("s", F.lit(0)).alias("s"), F.coalesce("concept", F.lit("")).alias("c"))).alias("m")
     )
     hashed = strata.select(row_id, F.col("m.c").alias("stratum"), groups.seeded_hash(F.col(row_id), seed).alias("_h"))
-    ranked = groups.hashed_rank(hashed, ["stratum"], "_h", row_id, "_n")
+    ranked = groups.hashed_rank(checkpointed(hashed), ["stratum"], "_h", row_id, "_n")
     offset = F.conv(F.substring(F.md5(F.col("stratum").cast("binary")), 1, 4), 16, 10).cast("int")
     slot = F.pmod(F.col("_n") - 1 + offset, F.lit(10))
     split = F.when(slot < 8, "train").when(slot == 8, "val").otherwise("test")
@@ -340,7 +340,8 @@ def ground_truth(df: DataFrame, order: str = "row_id", bare_boxes_only: bool = F
 
     keyed = usable.withColumn("product", F.coalesce(filled("im_name"), filled("im_id")))
     nameless = keyed.filter(F.col("product").isNull())
-    counted = groups.ordered_rank(nameless.withColumn("_all", F.lit(0)), ["_all"], order, "_n").drop("_all")
+    nameless = checkpointed(nameless.withColumn("_all", F.lit(0)))
+    counted = groups.ordered_rank(nameless, ["_all"], order, "_n").drop("_all")
     counted = counted.withColumn("product", F.concat(F.lit("unknown_"), (F.col("_n") - 1).cast("string"))).drop("_n")
     named = keyed.filter(F.col("product").isNotNull()).unionByName(counted)
     if bare_boxes_only:

@@ -48,9 +48,22 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str], last: bool =
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Equi-join on ``keys`` where NULL matches NULL; the keys of ``right`` are not repeated."""
+    """Equi-join on ``keys``; the keys of ``right`` are not repeated.  NULL matches nothing."""
+    return _joined(left, right, keys, how, lambda a, b: a == b)
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """As ``join_on``, but NULL matches NULL.
+
+    Such a join cannot reuse an existing partitioning by the keys, so it is
+    kept for keys that name groups and may be NULL.
+    """
+    return _joined(left, right, keys, how, lambda a, b: a.eqNullSafe(b))
+
+
+def _joined(left: DataFrame, right: DataFrame, keys: list[str], how: str, same) -> DataFrame:
     renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
-    condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    condition = reduce(lambda a, b: a & b, [same(F.col(k), F.col(f"_r_{k}")) for k in keys])
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
@@ -74,7 +87,7 @@ def split_by_size(df: DataFrame, keys: list[str], limit: int | None = GROUP_LIMI
     if large is None:
         return df, None
     heads = large.select(*keys)
-    return join_on(df, heads, keys, "left_anti"), join_on(df, heads, keys, "left_semi")
+    return join_null_safe(df, heads, keys, "left_anti"), join_null_safe(df, heads, keys, "left_semi")
 
 
 def attach_one_per_key(rows: DataFrame, side: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -84,11 +97,11 @@ def attach_one_per_key(rows: DataFrame, side: DataFrame, keys: list[str], how: s
     are salted so that one key spreads over many tasks.
     """
     if side.count() <= BROADCAST_ROWS:
-        return join_on(rows, F.broadcast(side), keys, how)
+        return join_null_safe(rows, F.broadcast(side), keys, how)
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns if c not in keys]), F.lit(SALTS))
     left = rows.withColumn("_salt", spread)
     right = side.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    return join_on(left, right, [*keys, "_salt"], how).drop("_salt")
+    return join_null_safe(left, right, [*keys, "_salt"], how).drop("_salt")
 
 
 def seeded_hash(column: Column, seed: int) -> Column:
@@ -97,12 +110,18 @@ def seeded_hash(column: Column, seed: int) -> Column:
 
 
 def _rank_in_buckets(df: DataFrame, keys: list[str], bucket: str, order: list[Column], rank: str) -> DataFrame:
+    """Rank by bucket totals plus place in the bucket.
+
+    The struct key is never NULL as a whole, so join and window share one
+    shuffle of the rows.
+    """
     sizes = df.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias("_size"))
     before = W.partitionBy(*keys).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, bucket, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
-    joined = join_on(df, offsets, [*keys, bucket])
-    inside = F.row_number().over(W.partitionBy(*keys, bucket).orderBy(*order))
-    return joined.withColumn(rank, (F.col("_before") + inside).cast("long")).drop("_before", bucket)
+    key = F.struct(*keys, bucket).alias("_key")
+    offsets = sizes.select(key, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    joined = join_on(df.select("*", key).drop(bucket), offsets, ["_key"])
+    inside = F.row_number().over(W.partitionBy("_key").orderBy(*order))
+    return joined.withColumn(rank, (F.col("_before") + inside).cast("long")).drop("_before", "_key")
 
 
 def hashed_rank(

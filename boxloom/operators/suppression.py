@@ -242,7 +242,7 @@ def _flag_enclosing(rows: DataFrame, group: list[str], position: str) -> DataFra
     )
     flag = F.when(F.col("_n").isNotNull(), 1.0).otherwise(0.0)
     k0 = F.when(F.col("by_enclosing"), flag).otherwise(F.col("k0"))
-    return groups.join_on(rows, flagged, keys, "left").withColumn("k0", k0).select(*rows.columns)
+    return groups.join_null_safe(rows, flagged, keys, "left").withColumn("k0", k0).select(*rows.columns)
 
 
 # A round of local winners must settle this share of the boxes, else conflicts are listed.
@@ -262,7 +262,7 @@ def _suppress_in_rounds(
         winners = groups.checkpointed(_local_winners(pending, group, position))
         beaten = _beaten(pending, winners, keys, group, overlap, position)
         decided = winners.select(*keys).unionByName(beaten)
-        pending = groups.checkpointed(groups.join_on(pending, decided, keys, "left_anti"))
+        pending = groups.checkpointed(groups.join_null_safe(pending, decided, keys, "left_anti"))
         kept.append(winners.select(*keys))
         now = pending.select(*keys).distinct().count()
         settled, left = left - now, now
@@ -271,7 +271,7 @@ def _suppress_in_rounds(
     if left:
         kept.append(_conflict_free(pending, group, overlap, position))
     chosen = groups.checkpointed(reduce(DataFrame.unionByName, kept))
-    out = groups.join_on(rows, chosen, keys, "left_semi")
+    out = groups.join_null_safe(rows, chosen, keys, "left_semi")
     if source is not None:
         out = _with_merged_labels(out, rows, cells, chosen, group, overlap, position, source)
     return out.drop(*HELPERS)
@@ -292,7 +292,7 @@ def _beaten(
     sides = winners.select(
         *group, "cx", "cy", F.col(position).alias("w_pos"), F.struct(*CORNERS).alias("w_box")
     )
-    met = groups.join_on(cells, sides, [*group, "cx", "cy"])
+    met = groups.join_null_safe(cells, sides, [*group, "cx", "cy"])
     me = F.struct(*CORNERS, "t_iou", "t_min")
     return met.filter((F.col("w_pos") != F.col(position)) & overlap(F.col("w_box"), me)).select(*keys).distinct()
 
@@ -310,16 +310,16 @@ def _conflict_free(cells: DataFrame, group: list[str], overlap: Overlap, positio
     kept = []
     while True:
         waiting = conflicts.select(*group, F.col("worse").alias(position)).distinct()
-        free = groups.checkpointed(groups.join_on(undecided, waiting, keys, "left_anti"))
+        free = groups.checkpointed(groups.join_null_safe(undecided, waiting, keys, "left_anti"))
         kept.append(free)
         if conflicts.isEmpty():
             return reduce(DataFrame.unionByName, kept)
-        by_free = groups.join_on(conflicts, free.withColumnRenamed(position, "better"), [*group, "better"], "left_semi")
+        by_free = groups.join_null_safe(conflicts, free.withColumnRenamed(position, "better"), [*group, "better"], "left_semi")
         lost = groups.checkpointed(by_free.select(*group, F.col("worse").alias(position)).distinct())
         settled = free.unionByName(lost)
-        undecided = groups.checkpointed(groups.join_on(undecided, settled, keys, "left_anti"))
-        conflicts = groups.join_on(conflicts, settled.withColumnRenamed(position, "better"), [*group, "better"], "left_anti")
-        conflicts = groups.join_on(conflicts, lost.withColumnRenamed(position, "worse"), [*group, "worse"], "left_anti")
+        undecided = groups.checkpointed(groups.join_null_safe(undecided, settled, keys, "left_anti"))
+        conflicts = groups.join_null_safe(conflicts, settled.withColumnRenamed(position, "better"), [*group, "better"], "left_anti")
+        conflicts = groups.join_null_safe(conflicts, lost.withColumnRenamed(position, "worse"), [*group, "worse"], "left_anti")
         conflicts = groups.checkpointed(conflicts)
 
 
@@ -331,17 +331,17 @@ def _with_merged_labels(
     Kept boxes do not overlap each other much, so a box meets few of them.
     """
     keys = [*group, position]
-    keepers = groups.join_on(cells, chosen, keys, "left_semi")
-    others = groups.join_on(cells, chosen, keys, "left_anti")
+    keepers = groups.join_null_safe(cells, chosen, keys, "left_semi")
+    others = groups.join_null_safe(cells, chosen, keys, "left_anti")
     sides = keepers.select(
         *group, "cx", "cy", F.col("rank").alias("w_rank"), F.struct(*CORNERS).alias("w_box")
     )
     me = F.struct(*CORNERS, "t_iou", "t_min")
-    met = groups.join_on(others, sides, [*group, "cx", "cy"]).filter(
+    met = groups.join_null_safe(others, sides, [*group, "cx", "cy"]).filter(
         (F.col("w_rank") < F.col("rank")) & overlap(F.col("w_box"), me)
     )
     owner = met.groupBy(*keys).agg(F.min("w_rank").alias("w_rank"), F.min("rank").alias("rank"))
-    labelled = groups.join_on(owner, rows.select(*keys, _labels(source).alias("labels")), keys)
+    labelled = groups.join_null_safe(owner, rows.select(*keys, _labels(source).alias("labels")), keys)
     given = labelled.select(*group, F.col("w_rank")[position].alias("_at"), "rank", F.explode("labels").alias("label"))
     per_box = (
         given.groupBy(*group, "_at", "label")
@@ -350,7 +350,7 @@ def _with_merged_labels(
         .agg(F.sort_array(F.collect_list(F.struct("rank", "label"))).alias("late"))
         .withColumnRenamed("_at", position)
     )
-    joined = groups.join_on(out, per_box, keys, "left")
+    joined = groups.join_null_safe(out, per_box, keys, "left")
     late = F.coalesce(F.transform("late", lambda x: x["label"]), F.array().cast("array<string>"))
     merged = F.filter(F.array_distinct(F.concat(_labels(source), late)), lambda s: s != "")
     return joined.withColumn(source, F.array_join(merged, ", ")).drop("late")

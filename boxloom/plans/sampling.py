@@ -28,7 +28,8 @@ def category_sample(
     An image that several products share is kept once, in its first category.
     """
     pool = catalog.matched_rules(catalog.expanded_images(products, image, additional), rules, category, gender)
-    pool = pool.withColumn("_row", F.concat_ws("|", F.col("product_id"), F.col("im_url")))
+    # The pool is counted, ranked and drawn from: it is written once.
+    pool = checkpointed(pool.withColumn("_row", F.concat_ws("|", F.col("product_id"), F.col("im_url"))))
     pools = checkpointed(catalog.pool_size(pool))
     budgets = checkpointed(S.category_budget(pools, total, smallest, largest, fixed))
     drawn = S.stratified_sample(pool, budgets, "_row", "category_clean", seed)
