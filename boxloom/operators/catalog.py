@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from boxloom.functions import codecs as C
@@ -401,5 +402,5 @@ def with_pool_details(sample: DataFrame, pool: DataFrame, columns: list[str], or
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Count per value and its share of the largest count."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
-    top = counts.agg(F.max("rows").alias("_top"))
-    return counts.crossJoin(F.broadcast(top)).select(column, "rows", (F.col("rows") / F.col("_top")).alias("share_of_top"))
+    top = F.max("rows").over(W.partitionBy(F.lit(0)))
+    return counts.select(column, "rows", (F.col("rows") / top).alias("share_of_top"))

@@ -7,6 +7,7 @@ row-local array expressions: no shuffle, no Python.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from boxloom.functions import codecs as C
@@ -196,11 +197,14 @@ def prevalence(df: DataFrame, by: str | None = None) -> DataFrame:
     With ``by`` a concept missing from a part has no row there.
     """
     keys = [by] if by else []
-    exploded = df.select(*keys, F.explode(C.distinct_concepts(F.col("concepts"))).alias("concept"))
+    # Every row also emits a NULL concept; its count is the number of rows.
+    marked = F.concat(F.array(F.lit(None).cast("string")), C.distinct_concepts(F.col("concepts")))
+    exploded = df.select(*keys, F.explode(marked).alias("concept"))
     support = exploded.groupBy(*keys, "concept").agg(F.count(F.lit(1)).alias("support"))
-    totals = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    joined = support.join(totals, by) if by else support.crossJoin(F.broadcast(totals))
-    return joined.select(*keys, "concept", "support", (F.col("support") / F.col("rows")).alias("share"))
+    part = W.partitionBy(by) if by else W.partitionBy(F.lit(0))
+    rows = F.max(F.when(F.col("concept").isNull(), F.col("support"))).over(part)
+    shared = support.withColumn("share", F.col("support") / rows).filter(F.col("concept").isNotNull())
+    return shared.select(*keys, "concept", "support", "share")
 
 
 def rare_concepts(df: DataFrame, below: int = 3) -> DataFrame:
@@ -233,10 +237,8 @@ def split_rows(df: DataFrame, row_id: str = "row_id", seed: int = 42) -> DataFra
 
 def split_shares(df: DataFrame) -> DataFrame:
     counts = df.groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
-    total = df.agg(F.count(F.lit(1)).alias("total"))
-    return counts.crossJoin(F.broadcast(total)).select(
-        "split", "rows", (F.col("rows") / F.col("total") * 100).alias("percent")
-    )
+    total = F.sum("rows").over(W.partitionBy(F.lit(0)))
+    return counts.select("split", "rows", (F.col("rows") / total * 100).alias("percent"))
 
 
 def split_drift(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from boxloom.functions.codecs import class_list_cell, class_multiplicity, strings
@@ -123,10 +124,12 @@ def classes_to_recover(confirmed: DataFrame, annotations: DataFrame, relevant: l
 
 def visible_class_counts(annotations: DataFrame) -> DataFrame:
     """How many annotations name each class, and the number of images overall."""
-    exploded = annotations.select(F.explode(F.array_distinct(_base_classes())).alias("class_name"))
+    # Every image also emits a NULL class; its count is the number of images.
+    marked = F.concat(F.array(F.lit(None).cast("string")), F.array_distinct(_base_classes()))
+    exploded = annotations.select(F.explode(marked).alias("class_name"))
     counts = exploded.groupBy("class_name").agg(F.count(F.lit(1)).alias("images"))
-    total = annotations.agg(F.count(F.lit(1)).alias("total_images"))
-    return counts.join(F.broadcast(total))
+    total = F.max(F.when(F.col("class_name").isNull(), F.col("images"))).over(W.partitionBy(F.lit(0)))
+    return counts.withColumn("total_images", total).filter(F.col("class_name").isNotNull())
 
 
 def _base_classes() -> Column:

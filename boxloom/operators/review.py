@@ -100,12 +100,14 @@ def reviewed_boxes(df: DataFrame, decisions: DataFrame, added: DataFrame) -> Dat
 
 
 def review_counts(df: DataFrame, decisions: DataFrame, added: DataFrame) -> DataFrame:
-    decided = groups.join_on(with_uid(df), decisions, ["uid"], "left")
-    totals = decided.agg(
-        F.coalesce(F.sum((F.col("decision") == "rejected").cast("long")), F.lit(0)).alias("rejected"),
-        F.coalesce(F.sum((F.col("decision") == "approved").cast("long")), F.lit(0)).alias("approved"),
-    )
-    return totals.crossJoin(F.broadcast(added.agg(F.count(F.lit(1)).alias("added"))))
+    """Boxes rejected, boxes approved, boxes drawn by people."""
+    decided = groups.join_on(with_uid(df).select("uid"), decisions, ["uid"]).select("decision")
+    events = decided.unionByName(added.select(F.lit("added").alias("decision")))
+
+    def count(kind: str) -> Column:
+        return F.coalesce(F.sum((F.col("decision") == kind).cast("long")), F.lit(0)).alias(kind)
+
+    return events.agg(count("rejected"), count("approved"), count("added"))
 
 
 def with_review_status(

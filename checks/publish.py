@@ -317,10 +317,10 @@ def a16(spark, sf):
 
 @query(
     "f19_only_products",
-    f"SELECT DISTINCT 'image ' || (im_id % 500) AS product, concept FROM ({PAIRS}) WHERE im_id % 500 < 20",
+    f"SELECT DISTINCT 'image ' || (im_id % 500) AS product, concept FROM ({PAIRS}) WHERE 'image ' || (im_id % 500) IN (SELECT 'image ' || p_partkey FROM part WHERE p_type = 'PROMO')",
 )
 def f19(spark, sf):
-    wanted = table(spark, sf, "part").filter("p_partkey < 20").select(F.concat(F.lit("image "), F.col("p_partkey").cast("string")).alias("product"))
+    wanted = table(spark, sf, "part").filter("p_type = 'PROMO'").select(F.concat(F.lit("image "), F.col("p_partkey").cast("string")).alias("product"))
     return D.only_products(D.ground_truth(dirty_rows(spark, sf)), wanted).select("product", "concept").distinct()
 
 

@@ -295,16 +295,16 @@ def j5(spark, sf):
 
 @query(
     "s7_cache_latest",
-    "SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN 1 ELSE 0 END AS answer FROM conversations WHERE turn < 3",
+    "SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN 1 ELSE 0 END AS answer FROM conversations WHERE role = 'user'",
 )
 def s7(spark, sf):
     """Append twice, read the last answer per key (W2), for the requested keys."""
     keys = ["conv_id", "turn"]
-    talks = table(spark, sf, "conversations").select(*keys).distinct()
+    talks = table(spark, sf, "conversations").select(*keys, "role").dropDuplicates(keys)
     store = new_store(spark, keys)
     store.append(talks.select(*keys, F.lit(0).alias("answer")), store.next_run())
     store.append(talks.filter("turn % 2 = 0").select(*keys, F.lit(1).alias("answer")), store.next_run())
-    return groups.join_on(store.latest(), talks.filter("turn < 3"), keys, "left_semi").select(*keys, "answer")
+    return groups.join_on(store.latest(), talks.filter("role = 'user'"), keys, "left_semi").select(*keys, "answer")
 
 
 @query(
