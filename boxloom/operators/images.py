@@ -25,7 +25,9 @@ def pixel_crops(
     wanted = rectangles.filter((F.col("cx2") > F.col("cx1")) & (F.col("cy2") > F.col("cy1")))
     element = F.struct(F.col("pos").alias("box_no"), "name", "cx1", "cy1", "cx2", "cy2")
     listed = gathered(wanted, [image], "pos", element, limit)
-    joined = groups.join_on(images.select(image, "image_h", "image_w", "channels", "pixels"), listed, [image])
+    # Pixel columns are far larger than size estimates say: never broadcast them.
+    pixels = images.select(image, "image_h", "image_w", "channels", "pixels")
+    joined = groups.join_on(pixels, listed.hint("merge"), [image])
     schema = T.StructType(
         [
             images.schema[image],
