@@ -159,7 +159,7 @@ def ratio_sample(
     wanted = catalog.without_terms(df, "category", NEVER_INCLUDED if never is None else never)
     must = catalog.contains_any(F.col("category"), ALWAYS_INCLUDED if always is None else always)
     marked = wanted.withColumn("must_include", must)
-    forced = marked.filter("must_include").groupBy("gender").agg(F.count(F.lit(1)).alias("n")).collect()
+    forced = marked.filter(F.col("must_include") & F.col("gender").isin("women", "men")).groupBy("gender").agg(F.count(F.lit(1)).alias("n")).collect()
     need = ratio_targets({r["gender"]: r["n"] for r in forced}, smallest)
     rest = marked.filter(~F.col("must_include") & F.col("gender").isin("women", "men"))
     hashed = rest.withColumn("_h", groups.seeded_hash(F.col(id_column), seed))

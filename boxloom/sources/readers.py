@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from boxloom.functions import codecs as C
 from boxloom.operators import groups
 from boxloom.operators.catalog import Rule
 from boxloom.operators.review import CORRECTION, REVIEW
@@ -28,19 +28,14 @@ def read_csv(spark: SparkSession, path, schema: T.StructType | str | None = None
 def with_row_number(df: DataFrame, name: str = "row_id") -> DataFrame:
     """0-based input row number: partition order, then place inside the partition."""
     placed = df.withColumn("_place", F.monotonically_increasing_id())
-    part = F.shiftright("_place", 33)
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    # One row per input partition.
-    counts = {r["_part"]: r["_n"] for r in sizes.collect()}
-    offsets, total = {}, 0
-    for key in sorted(counts):
-        offsets[key] = total
-        total += counts[key]
-    if not offsets:
-        return df.withColumn(name, F.lit(0).cast("long"))
-    table = F.create_map(*[F.lit(int(x)) for kv in offsets.items() for x in kv])
+    placed = placed.withColumn("_part", F.shiftright("_place", 33))
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = W.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    # One row per input partition, so the broadcast is bounded by their number.
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     inside = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.withColumn(name, (table[part] + inside).cast("long")).drop("_place")
+    numbered = groups.join_on(placed, F.broadcast(offsets), ["_part"])
+    return numbered.withColumn(name, (F.col("_before") + inside).cast("long")).drop("_place", "_part", "_before")
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
@@ -117,7 +112,3 @@ def job_configs(spark: SparkSession, targets: dict[str, int], classes: list[str]
     """One sampling job per catalog: target size and relevant classes."""
     rows = [(name, int(n), classes) for name, n in sorted(targets.items())]
     return spark.createDataFrame(rows, "catalog_name string, target_size int, relevant_classes array<string>")
-
-
-def list_column(cell: Column) -> Column:
-    return C.list_cell(cell)
