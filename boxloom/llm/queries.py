@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from boxloom.llm.decontamination import held_out_hits
 from boxloom.llm.frames import sha256_hex
+from boxloom.llm.near_copies import near_copy_groups
 from boxloom.llm.registry import ORACLES, QUERIES, images, query, table  # noqa: F401
 from boxloom.llm.substrings import without_repeats
 
@@ -19,6 +20,12 @@ def substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("op8_ngram_jaccard")
+def ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    rows = near_copy_groups(images(table(spark, sf, "documents")), n_words=5, percent=80)
+    return rows.select(F.col("im_id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
 @query("op10_decontamination")
 def decontamination(spark: SparkSession, sf: str) -> DataFrame:
     held_out = table(spark, sf, "benchmark").select(F.col("item_id").alias("im_id"), F.col("text").alias("im_description"))
