@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from boxloom.llm.decontamination import held_out_hits
 from boxloom.llm.frames import sha256_hex
 from boxloom.llm.near_copies import near_copy_groups
-from boxloom.llm.registry import ORACLES, QUERIES, images, query, table  # noqa: F401
+from boxloom.llm.registry import ORACLES, QUERIES, images, query, table, tokenizer_file  # noqa: F401
 from boxloom.llm.substrings import without_repeats
+from boxloom.llm.tokens import token_ids
 
 
 @query("op1_substring_dedup")
@@ -20,6 +21,17 @@ def substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("op7_bpe")
+def bpe(spark: SparkSession, sf: str) -> DataFrame:
+    rows = token_ids(images(table(spark, sf, "documents")), tokenizer_file("word_bpe_49k.json"))
+    return rows.select(
+        F.col("im_id").alias("doc_id"),
+        "n_tokens",
+        F.sha2("token_ids", 256).alias("ids_sha256"),
+        sha256_hex(F.col("decoded")).alias("decoded_sha256"),
+    )
+
+
 @query("op8_ngram_jaccard")
 def ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     rows = near_copy_groups(images(table(spark, sf, "documents")), n_words=5, percent=80)

@@ -29,3 +29,9 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def images(rows: DataFrame) -> DataFrame:
     """Documents as image rows: the id and the description."""
     return rows.select(F.col("doc_id").alias("im_id"), F.col("text").alias("im_description"))
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
