@@ -22,6 +22,8 @@ BLOCK_REPEATS = 3
 FREQUENT_LIMIT = 100_000
 SMALL_GROUP = 32
 LEADERS = 16
+#: Groups of the finer counts that candidate pairs are bounded by before their sets are compared.
+FINE_BITS = 9
 #: Ids of compared rows are broadcast up to this many.
 BROADCAST_IDS = 200_000
 
@@ -57,13 +59,15 @@ def _feature_rows(n_words: int, percent: int, frequent):
     def step(batches: Batches) -> Batches:
         last = frequent.value
         for batch in batches:
-            sizes, marks, counts, firsts, lengths = [], [], [], [], []
+            sizes, marks, counts, fine, firsts, lengths = [], [], [], [], [], []
             for block in W.blocks(batch.column(1), W.BLANKS, lower=True):
                 for own in _shingle_sets(block, n_words):
                     n = len(own)
                     sizes.append(n)
                     marks.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if n else None)
-                    groups = np.bincount((own >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
+                    groups = np.bincount((own >> np.uint64(64 - FINE_BITS)).astype(np.int64), minlength=1 << FINE_BITS)
+                    fine.append(np.minimum(groups, FULL).astype(np.uint8).tobytes())
+                    groups = groups.reshape(GROUPS, -1).sum(axis=1)
                     counts.append(np.minimum(groups, FULL).astype(np.uint8).tobytes())
                     keep = n - -(-percent * n // 100) + 1 if n else 0
                     if len(last) and n:
@@ -79,9 +83,10 @@ def _feature_rows(n_words: int, percent: int, frequent):
                     pa.array(sizes, pa.int64()),
                     pa.array(marks, pa.binary()),
                     pa.array(counts, pa.binary()),
+                    pa.array(fine, pa.binary()),
                     lists(flat.view(np.int64), lengths, pa.int64()),
                 ],
-                names=["im_id", "n_shingles", "mark", "counts", "firsts"],
+                names=["im_id", "n_shingles", "mark", "counts", "fine", "firsts"],
             )
 
     return step
@@ -172,10 +177,29 @@ def _candidate_rows(percent: int, linked: bool):
     return step
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, kind: str, n_words: int, percent: int) -> DataFrame:
+def _bounded_pairs(percent: int):
+    """Pairs that the finer counts don't rule out."""
+
+    def step(batches: Batches) -> Batches:
+        for batch in batches:
+            own, other = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8) for c in (4, 5))
+            own, other = own.reshape(-1, 1 << FINE_BITS), other.reshape(-1, 1 << FINE_BITS)
+            bound = np.minimum(own, other).sum(axis=1, dtype=np.int64)
+            total = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            keep = ((100 + percent) * bound >= percent * total) | (own == FULL).any(axis=1) | (other == FULL).any(axis=1)
+            yield batch.select([0, 1]).filter(pa.array(keep))
+
+    return step
+
+
+def _verified(pairs: DataFrame, points: DataFrame, texts: DataFrame, kind: str, n_words: int, percent: int) -> DataFrame:
     """Pairs whose shingle sets reach the similarity."""
     pairs = pairs.select(F.least("left", "right").alias("left"), F.greatest("left", "right").alias("right"))
-    pairs = checkpointed(pairs.filter(F.col("left") != F.col("right")).distinct())
+    pairs = pairs.filter(F.col("left") != F.col("right")).distinct()
+    one = points.select(F.col("im_id").alias("left"), F.col("n_shingles").alias("n_left"), F.col("fine").alias("fine_left"))
+    two = points.select(F.col("im_id").alias("right"), F.col("n_shingles").alias("n_right"), F.col("fine").alias("fine_right"))
+    both = pairs.join(one, "left").join(two, "right").select("left", "right", "n_left", "n_right", "fine_left", "fine_right")
+    pairs = checkpointed(in_tasks(both, _bounded_pairs(percent), f"left {kind}, right {kind}").distinct())
     ids = pairs.select(F.col("left").alias("im_id")).unionByName(pairs.select(F.col("right").alias("im_id"))).distinct()
     ids = checkpointed(ids)
     if ids.count() <= BROADCAST_IDS:
@@ -216,26 +240,28 @@ def near_copy_groups(images: DataFrame, n_words: int = 5, percent: int = 80) ->
     frequent = np.array(sorted(r[0] for r in counted.filter(F.col("n") >= least).select("shingle").collect()), dtype=np.int64)
     frequent = context.broadcast(np.sort(frequent.view(np.uint64)))
 
-    schema = f"im_id {kind}, n_shingles bigint, mark binary, counts binary, firsts array<bigint>"
+    schema = f"im_id {kind}, n_shingles bigint, mark binary, counts binary, fine binary, firsts array<bigint>"
     features = checkpointed(in_tasks(rows, _feature_rows(n_words, percent, frequent), schema))
     named = features.filter(F.col("im_id").isNotNull() & F.col("mark").isNotNull())
     classes = checkpointed(named.groupBy("mark").agg(F.min("im_id").alias("first_id")))
     firsts = named.join(classes, "mark").filter(F.col("im_id") == F.col("first_id"))
 
     keys = firsts.select("im_id", F.explode("firsts").alias("shingle"))
-    points = firsts.groupBy("im_id", "n_shingles", "counts").agg(F.lit(1).alias("_one")).drop("_one")
+    # Equal ids with several texts give several points.
+    points = firsts.select("im_id", "n_shingles", "mark", "counts").distinct().drop("mark")
+    fine = firsts.select("im_id", "n_shingles", "fine")
     shared = checkpointed(held_by_several(keys, ["shingle"]).distinct().join(points, "im_id"))
     found = f"left {kind}, right {kind}, dense bigint"
     by_shingle = shared.select("im_id", "shingle", "n_shingles", "counts").repartition("shingle").sortWithinPartitions("shingle")
     candidates = checkpointed(in_tasks(by_shingle, _candidate_rows(percent, False), found))
-    links = _verified(candidates.filter(F.col("left").isNotNull()), rows, kind, n_words, percent)
+    links = _verified(candidates.filter(F.col("left").isNotNull()), fine, rows, kind, n_words, percent)
     groups = components(links)
 
     dense = candidates.filter(F.col("dense").isNotNull()).select(F.col("dense").alias("shingle")).distinct()
     again = shared.join(dense, "shingle").join(groups, "im_id", "left")
     again = again.select("im_id", "shingle", "n_shingles", "counts", F.coalesce("component", "im_id").alias("component"))
     again = again.repartition("shingle").sortWithinPartitions("shingle")
-    more = _verified(in_tasks(again, _candidate_rows(percent, True), found), rows, kind, n_words, percent)
+    more = _verified(in_tasks(again, _candidate_rows(percent, True), found), fine, rows, kind, n_words, percent)
     if not more.isEmpty():
         groups = components(reduce(DataFrame.unionByName, [links, more]))
 
