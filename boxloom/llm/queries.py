@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxloom.llm.decontamination import held_out_hits
 from boxloom.llm.frames import sha256_hex
 from boxloom.llm.near_copies import near_copy_groups
+from boxloom.llm.quality import quality_scores
 from boxloom.llm.registry import ORACLES, QUERIES, images, query, table, tokenizer_file  # noqa: F401
 from boxloom.llm.substrings import without_repeats
 from boxloom.llm.tokens import token_ids
+from boxloom.llm.toxicity import toxicity_severity
+from boxloom.llm.url_filter import url_verdicts
 
 
 @query("op1_substring_dedup")
@@ -21,6 +24,65 @@ def substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@query(
+    "op3_url_filter",
+    """
+    WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES
+        ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+        ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+    cut AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    parts AS (
+        SELECT page_id, regexp_extract(rest, '^([^/?#]*)([^?#]*)', 1) AS raw_host, regexp_extract(rest, '^([^/?#]*)([^?#]*)', 2) AS path
+        FROM cut),
+    urls AS (
+        SELECT page_id, translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM parts)
+    SELECT page_id, host, path,
+        (SELECT arg_max(rule_host || rule_path, length(rule_host || rule_path)) FROM rules
+         WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)) AS rule,
+        coalesce((SELECT arg_max(rule_verdict, length(rule_host || rule_path)) FROM rules
+         WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)), 'allow') AS verdict
+    FROM urls
+    """,
+)
+def url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages").select(F.col("page_id").alias("im_id"), F.col("url").alias("im_url"))
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_verdicts(pages, rules).withColumnRenamed("im_id", "page_id")
+
+
+def held_out() -> Column:
+    """Whether the remainder of the id's checksum is 0; such labels are never learned from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+
+
+def learned_labels(spark: SparkSession, sf: str, mark: str) -> DataFrame:
+    return table(spark, sf, "labels").filter(~held_out()).select(F.col("doc_id").alias("im_id"), mark)
+
+
+@query("op4_quality")
+def quality(spark: SparkSession, sf: str) -> DataFrame:
+    rows = quality_scores(images(table(spark, sf, "documents")), learned_labels(spark, sf, "quality"))
+    return rows.withColumnRenamed("im_id", "doc_id").select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@query("op6_toxicity")
+def toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    rows = toxicity_severity(images(table(spark, sf, "documents")), learned_labels(spark, sf, "toxic"))
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return rows.withColumnRenamed("im_id", "doc_id").select(
+        "doc_id", held_out().alias("held_out"), "score", "severity", "grade", predicted
+    )
+
+
 @query("op7_bpe")
 def bpe(spark: SparkSession, sf: str) -> DataFrame:
     rows = token_ids(images(table(spark, sf, "documents")), tokenizer_file("word_bpe_49k.json"))
