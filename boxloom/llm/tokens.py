@@ -76,6 +76,17 @@ def _chunk(held: list, n_buckets: int) -> Chunk:
     return Chunk(key, ids, np.concatenate([n for _, n, _ in held]), place[places], words, buckets[order])
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """32-bit numbers with equal bytes together, compressed."""
+    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 4).T)
+    return pa.Codec("zstd").compress(planes.tobytes(), asbytes=True)
+
+
+def unpacked(data: bytes, n: int, kind=np.int32) -> np.ndarray:
+    planes = pa.Codec("zstd").decompress(data, 4 * n, asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(4, n).T).view(kind).ravel()
+
+
 def _word_rows(n_buckets: int, size: int):
     def step(batches: Batches) -> Batches:
         for chunk in _chunks(batches, n_buckets, size):
@@ -98,16 +109,13 @@ def _word_rows(n_buckets: int, size: int):
 def _place_rows(n_buckets: int, size: int):
     def step(batches: Batches) -> Batches:
         for chunk in _chunks(batches, n_buckets, size):
-            # Equal bytes of the places stand together, so they pack well.
-            planes = np.ascontiguousarray(chunk.places.view(np.uint8).reshape(-1, 4).T)
-            packed = pa.Codec("zstd").compress(planes.tobytes(), asbytes=True)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([chunk.key]),
                     pa.array([len(chunk.words)], pa.int64()),
                     pa.ListArray.from_arrays(pa.array([0, len(chunk.ids)], pa.int32()), chunk.ids),
                     lists(chunk.counts, [len(chunk.counts)], pa.int32()),
-                    pa.array([packed], pa.binary()),
+                    pa.array([packed(chunk.places)], pa.binary()),
                 ],
                 names=["chunk", "n_distinct", "ids", "counts", "places"],
             )
@@ -140,16 +148,20 @@ def _encoded_rows(model):
         per_word = lists(np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32), lengths, pa.int32())
         lengths = np.array(lengths, dtype=np.int32)
         ends = np.cumsum(pc.list_value_length(flat).to_numpy())
-        out_lengths, out_ids = [], []
+        out_lengths, out_ids, sizes = [], [], []
         places = coded.indices.to_numpy()
         for low, high in zip(np.concatenate([[0], ends[:-1]]), ends, strict=True):
             at = places[low:high]
-            out_lengths.append(lengths[at].astype(np.int32).tobytes())
-            out_ids.append(per_word.take(pa.array(at)).flatten().to_numpy().astype(np.int32).tobytes())
+            own = per_word.take(pa.array(at)).flatten().to_numpy().astype(np.int32)
+            out_lengths.append(packed(lengths[at]))
+            out_ids.append(packed(own))
+            sizes.append((len(at), len(own)))
         return pa.table(
             {
                 "chunk": table.column("chunk"),
                 "bucket": table.column("bucket"),
+                "n_words": pa.array([n for n, _ in sizes], pa.int32()),
+                "n_ids": pa.array([n for _, n in sizes], pa.int32()),
                 "lengths": pa.array(out_lengths, pa.binary()),
                 "token_ids": pa.array(out_ids, pa.binary()),
             }
@@ -167,8 +179,10 @@ def _joined_rows(pieces, kind: pa.DataType):
         buckets = words.column("bucket").to_numpy()
         keep = np.flatnonzero(np.diff(buckets, prepend=-1))
         words = words.take(pa.array(keep))
-        lengths = np.frombuffer(b"".join(words.column("lengths").to_pylist()), dtype=np.int32)
-        ids = np.frombuffer(b"".join(words.column("token_ids").to_pylist()), dtype=np.int32)
+        lengths, ids = (
+            np.concatenate([np.zeros(0, dtype=np.int32), *(unpacked(d, n) for d, n in zip(*(words.column(c).to_pylist() for c in names), strict=True))])
+            for names in (("lengths", "n_words"), ("token_ids", "n_ids"))
+        )
         per_word = lists(ids, lengths, pa.int32())
         texts = pc.binary_join(lists_of(pieces.value.take(pa.array(ids)), lengths), BLANK)
         for row in range(rows.num_rows):
@@ -176,8 +190,7 @@ def _joined_rows(pieces, kind: pa.DataType):
                 raise RuntimeError("the rows came in another order when they were read again; write them as a table first")
             counts = rows.column("counts")[row].values.to_numpy()
             n = int(counts.sum())
-            planes = pa.Codec("zstd").decompress(rows.column("places")[row].as_py(), 4 * n, asbytes=True)
-            places = np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(4, n).T).view(np.uint32).ravel()
+            places = unpacked(rows.column("places")[row].as_py(), n, np.uint32)
             sizes, owner = lengths[places], np.repeat(np.arange(len(counts)), counts)
             flat = per_word.take(pa.array(places)).flatten().to_numpy().astype("<u4")
             totals = np.bincount(owner, weights=sizes, minlength=len(counts)).astype(np.int64)
@@ -185,13 +198,13 @@ def _joined_rows(pieces, kind: pa.DataType):
             said = sizes > 0
             n_said = np.bincount(owner[said], minlength=len(counts))
             decoded = pc.binary_join(lists_of(texts.take(pa.array(places[said])), n_said), BLANK)
-            packed = [flat[e - t : e].tobytes() for e, t in zip(ends.tolist(), totals.tolist(), strict=True)]
+            token_bytes = [flat[e - t : e].tobytes() for e, t in zip(ends.tolist(), totals.tolist(), strict=True)]
             out.append(
                 pa.table(
                     {
                         "im_id": rows.column("ids")[row].values.cast(kind),
                         "n_tokens": pa.array(totals),
-                        "token_ids": pa.array(packed, pa.binary()),
+                        "token_ids": pa.array(token_bytes, pa.binary()),
                         "decoded": decoded.cast(pa.string()),
                     }
                 )
@@ -249,7 +262,7 @@ def token_ids(images: DataFrame, tokenizer_path: str, chunk_bytes: int = CHUNK_B
     pieces = spark.sparkContext.broadcast(piece_table(text))
     words = in_tasks(rows, _word_rows(n_buckets, chunk_bytes), "chunk bigint, bucket int, words array<string>")
     encoded = words.groupBy("bucket").applyInArrow(
-        _encoded_rows(model), "chunk bigint, bucket int, lengths binary, token_ids binary"
+        _encoded_rows(model), "chunk bigint, bucket int, n_words int, n_ids int, lengths binary, token_ids binary"
     )
     schema = f"chunk bigint, n_distinct bigint, ids array<{kind}>, counts array<int>, places binary"
     places = in_tasks(rows, _place_rows(n_buckets, chunk_bytes), schema)
