@@ -10,6 +10,7 @@ from boxloom.llm.frames import sha256_hex
 from boxloom.llm.near_copies import near_copy_groups
 from boxloom.llm.quality import quality_scores
 from boxloom.llm.registry import ORACLES, QUERIES, images, query, table, tokenizer_file  # noqa: F401
+from boxloom.llm.secrets import secret_spans
 from boxloom.llm.substrings import without_repeats
 from boxloom.llm.tokens import token_ids
 from boxloom.llm.toxicity import toxicity_severity
@@ -100,6 +101,27 @@ def ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(F.col("im_id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
 
 
+@query("op9_secrets")
+def secrets(spark: SparkSession, sf: str) -> DataFrame:
+    rows = secret_spans(images(table(spark, sf, "documents")))
+
+    def said(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != "tagged")
+    return rows.select(
+        F.col("im_id").alias("doc_id"),
+        count("assign"),
+        count("access"),
+        count("hex"),
+        sha256_hex(said(base)).alias("base_sha256"),
+        said(F.col("spans")).alias("spans"),
+    )
+
+
 @query("op10_decontamination")
 def decontamination(spark: SparkSession, sf: str) -> DataFrame:
     held_out = table(spark, sf, "benchmark").select(F.col("item_id").alias("im_id"), F.col("text").alias("im_description"))
