@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxloom.llm.decontamination import held_out_hits
+from boxloom.llm.edited_counts import edited_trees, token_trees
 from boxloom.llm.frames import sha256_hex
 from boxloom.llm.near_copies import near_copy_groups
 from boxloom.llm.quality import quality_scores
@@ -13,6 +14,7 @@ from boxloom.llm.registry import ORACLES, QUERIES, images, query, table, tokeniz
 from boxloom.llm.secrets import secret_spans
 from boxloom.llm.substrings import without_repeats
 from boxloom.llm.tokens import token_ids
+from boxloom.llm.top_search import best_matches
 from boxloom.llm.toxicity import toxicity_severity
 from boxloom.llm.url_filter import url_verdicts
 
@@ -25,6 +27,21 @@ def substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("op2_token_counts")
+def token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Each text gets five code points replaced at a third of it and a line added at its end."""
+    rows = images(table(spark, sf, "documents"))
+    length, place = F.length("im_description"), F.floor(F.length("im_description") / 3).cast("int")
+    inner = F.struct(place.alias("start"), F.least(place + 5, length).alias("end"), F.lit(" edited ").alias("replacement"))
+    added = F.struct(length.alias("start"), length.alias("end"), F.lit("\nLine 1 added.").alias("replacement"))
+    edits = rows.filter(length > 0).select("im_id", F.explode(F.array(inner, added)).alias("edit")).select("im_id", "edit.*")
+    ranks = tokenizer_file("byte_bpe_50k.tiktoken")
+    counted = edited_trees(token_trees(rows, ranks), edits, ranks)
+    return counted.select(
+        F.col("im_id").alias("doc_id"), "n_tokens_before", "n_tokens", "n_runs", "n_recounted", sha256_hex(F.coalesce("im_description", F.lit(""))).alias("edited_sha256")
+    )
+
+
 URL_RULES = [
     ("com", "/", "allow"),
     ("example.com", "/en/", "block"),
@@ -75,6 +92,26 @@ def quality(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumnRenamed("im_id", "doc_id").select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+@query(
+    "op5_top_search",
+    """
+    WITH vectors AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS w
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+    scores AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
+        FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+    ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
+)
+def top_search(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("im_id"), "embedding")
+    rows = best_matches(vectors, vectors.filter(F.col("im_id") % 20 == 0), k=20, scale=64)
+    return rows.select("query_id", "rank", F.col("im_id").alias("vec_id"), "score")
+
+
 @query("op6_toxicity")
 def toxicity(spark: SparkSession, sf: str) -> DataFrame:
     rows = toxicity_severity(images(table(spark, sf, "documents")), learned_labels(spark, sf, "toxic"))
