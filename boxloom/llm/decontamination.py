@@ -105,7 +105,12 @@ def _scan(windows, keep_text: bool):
 
 
 def held_out_hits(
-    images: DataFrame, held_out: DataFrame, n_words: int = 13, least_share: float = 0.05, broadcast_bytes: int = BROADCAST_BYTES
+    images: DataFrame,
+    held_out: DataFrame,
+    n_words: int = 13,
+    least_share: float = 0.05,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    keep_text: bool = False,
 ) -> DataFrame:
     """Words of image descriptions that repeat descriptions of a held-out split.
 
@@ -116,7 +121,7 @@ def held_out_hits(
 
     One row per row of ``images``: ``im_id``, ``n_words``, ``n_hit`` (words inside any occurrence), ``starts`` and
     ``ends`` (maximal hit runs, in words), ``found`` (sorted held-out ids as strings) and ``contaminated``
-    (some hit, and at least ``least_share`` of the words).  NULL or empty texts have no words and no hits, empty tables
+    (some hit, and at least ``least_share`` of the words); ``keep_text`` also returns ``im_description``.  NULL or empty texts have no words and no hits, empty tables
     give none; repeated rows are judged each; a NULL held-out id is the string ``null``.
     """
     kind = images.schema["im_id"].dataType.simpleString()
@@ -129,9 +134,10 @@ def held_out_hits(
     context = images.sparkSession.sparkContext
     for number in range(n_blocks):
         own = [tuple(r) for r in items.filter(block == number).collect()]
-        rows = in_tasks(rows, _scan(context.broadcast(Windows(own, n_words)), number + 1 < n_blocks), _STEP.format(kind=kind))
+        rows = in_tasks(rows, _scan(context.broadcast(Windows(own, n_words)), keep_text or number + 1 < n_blocks), _STEP.format(kind=kind))
     sizes = F.zip_with("ends", "starts", lambda end, start: end - start)
     n_hit = F.aggregate(sizes, F.lit(0).cast("bigint"), lambda total, x: total + x)
-    rows = rows.select("im_id", "n_words", n_hit.alias("n_hit"), "starts", "ends", "found")
+    text = ["im_description"] if keep_text else []
+    rows = rows.select("im_id", *text, "n_words", n_hit.alias("n_hit"), "starts", "ends", "found")
     share = round(1 / least_share)
     return rows.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")))

@@ -338,6 +338,14 @@ def _span_rows(tagger):
     return step
 
 
+def spans_of(images: DataFrame, tagger: Tagger) -> DataFrame:
+    """Base spans and those a learned tagger adds: ``im_id`` (of any type), ``im_description`` and ``spans``."""
+    shared = images.sparkSession.sparkContext.broadcast(tagger)
+    kind = images.schema["im_id"].dataType.simpleString()
+    schema = f"im_id {kind}, im_description string, spans array<struct<kind:string,start:int,end:int>>"
+    return in_tasks(described(images), _span_rows(shared), schema)
+
+
 def secret_spans(images: DataFrame, most_rows: int = 8000) -> DataFrame:
     """Secrets in image descriptions.
 
@@ -349,10 +357,7 @@ def secret_spans(images: DataFrame, most_rows: int = 8000) -> DataFrame:
     One row per input row: ``im_id``, ``im_description`` and ``spans``, an array of (kind, start, end) in code points, end exclusive, by
     start, then kind.  NULL and empty texts have none.  Without any base span in the learned rows nothing is added.
     """
-    tagger = images.sparkSession.sparkContext.broadcast(learned_tagger(images, most_rows))
-    kind = images.schema["im_id"].dataType.simpleString()
-    schema = f"im_id {kind}, im_description string, spans array<struct<kind:string,start:int,end:int>>"
-    return in_tasks(described(images), _span_rows(tagger), schema)
+    return spans_of(images, learned_tagger(images, most_rows))
 
 
 def without_secrets(spans: DataFrame, mark: str = "[SECRET]") -> DataFrame:
