@@ -19,7 +19,7 @@ MOST_WORDS = 1 << 14
 #: Judged rows that a word must be in.
 LEAST_ROWS = 5
 #: Squared distance, in standard deviations, of a word's abusive rows from what chance gives.
-LEAST_TELLING = 16
+LEAST_TELLING = 12
 #: Bytes of the beginnings of words that are features too.
 BEGINNINGS = (4, 5, 6, 7, 8)
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -57,7 +57,7 @@ def _word_rows(batches: Batches) -> Batches:
 class Severity:
     """Cumulative-link model: P(grade > k) is the logistic of one weighted sum less the k-th threshold."""
 
-    def __init__(self, vocabulary: np.ndarray, rows: np.ndarray, words: np.ndarray, grades: np.ndarray, rounds: int = 150, penalty: float = 2e-4):
+    def __init__(self, vocabulary: np.ndarray, rows: np.ndarray, words: np.ndarray, grades: np.ndarray, rounds: int = 300, penalty: float = 1e-5):
         """``rows`` and ``words`` are the places of the known words of the judged rows."""
         self.vocabulary = vocabulary
         self.n_grades = max(2, int(grades.max()) + 1 if len(grades) else 2)
@@ -159,12 +159,17 @@ def toxicity_severity(images: DataFrame, judged: DataFrame, n_grades: int = 3, m
     """
     sample = judged_sample(images, judged, "toxic", most_rows).select("im_id", "im_description", "mark")
     sample = checkpointed(in_tasks(sample, _word_rows, "mark int, words array<bigint>"))
-    bad = (F.col("mark") > 0).cast("double")
-    share = sample.agg(F.avg(bad)).first()[0] or 0.0
-    known = sample.select(bad.alias("bad"), F.explode("words").alias("word"))
-    known = known.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad")).filter(F.col("n") >= LEAST_ROWS)
-    apart = (F.col("bad") - F.col("n") * share) ** 2 / (F.col("n") * max(share * (1 - share), 1e-9))
-    known = known.withColumn("apart", apart).filter(F.col("apart") >= LEAST_TELLING)
+    top = sample.agg(F.max("mark")).first()[0] or 0
+    marks = [(F.col("mark") > k).cast("double").alias(f"above_{k}") for k in range(max(1, top))]
+    shares = sample.agg(*[F.avg(m).alias(f"above_{k}") for k, m in enumerate(marks)]).first()
+    known = sample.select(*marks, F.explode("words").alias("word")).groupBy("word")
+    known = known.agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"above_{k}").alias(f"above_{k}") for k in range(len(marks))])
+    apart = F.lit(0.0)
+    for k in range(len(marks)):
+        share = shares[k] or 0.0
+        own = (F.col(f"above_{k}") - F.col("n") * share) ** 2 / (F.col("n") * max(share * (1 - share), 1e-9))
+        apart = F.greatest(apart, own)
+    known = known.filter(F.col("n") >= LEAST_ROWS).withColumn("apart", apart).filter(F.col("apart") >= LEAST_TELLING)
     known = [r["word"] for r in known.orderBy(F.desc("apart"), "word").limit(MOST_WORDS).collect()]
     vocabulary = np.sort(np.array(known, dtype=np.int64).view(np.uint64))
     table = sample.toArrow()
