@@ -6,6 +6,7 @@ from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +55,24 @@ def _word_rows(batches: Batches) -> Batches:
             )
 
 
+def _known_rows(vocabulary):
+    """Places in the vocabulary of the words of judged rows; other words stay behind."""
+
+    def step(batches: Batches) -> Batches:
+        known = vocabulary.value
+        for batch in batches:
+            words = batch.column(1)
+            lengths = pa.compute.list_value_length(words).to_numpy(zero_copy_only=False)
+            rows = np.repeat(np.arange(len(words)), lengths)
+            hashes = words.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            place = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
+            keep = known[place] == hashes if len(known) else np.zeros(len(hashes), dtype=bool)
+            counts = np.bincount(rows[keep], minlength=len(words))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists(place[keep], counts, pa.int32())], names=["mark", "places"])
+
+    return step
+
+
 class Severity:
     """Cumulative-link model: P(grade > k) is the logistic of one weighted sum less the k-th threshold."""
 
@@ -172,18 +191,14 @@ def toxicity_severity(images: DataFrame, judged: DataFrame, n_grades: int = 3, m
     known = known.filter(F.col("n") >= LEAST_ROWS).withColumn("apart", apart).filter(F.col("apart") >= LEAST_TELLING)
     known = [r["word"] for r in known.orderBy(F.desc("apart"), "word").limit(MOST_WORDS).collect()]
     vocabulary = np.sort(np.array(known, dtype=np.int64).view(np.uint64))
-    table = sample.toArrow()
+    shared = images.sparkSession.sparkContext.broadcast(vocabulary)
+    table = in_tasks(sample, _known_rows(shared), "mark int, places array<int>").toArrow()
+    order = sorted(range(table.num_rows), key=lambda i: (table["mark"][i].as_py(), table["places"][i].as_py()))
+    table = table.take(pa.array(order, pa.int64()))
     marks = table.column("mark").to_numpy()
-    column = table.column("words").combine_chunks()
-    lengths = np.diff(column.offsets.to_numpy()) if len(column) else np.zeros(0, dtype=np.int64)
-    hashes = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-    rows = np.repeat(np.arange(len(marks)), lengths)
-    if len(vocabulary):
-        place = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
-        keep = vocabulary[place] == hashes
-    else:
-        place, keep = np.zeros(len(hashes), dtype=np.int64), np.zeros(len(hashes), dtype=bool)
-    rows, place = rows[keep], place[keep]
+    column = table.column("places").combine_chunks()
+    rows = np.repeat(np.arange(len(marks)), pa.compute.list_value_length(column).to_numpy(zero_copy_only=False))
+    place = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     grades = _grades(marks.astype(np.int64), rows, place, len(vocabulary), n_grades)
     model = images.sparkSession.sparkContext.broadcast(Severity(vocabulary, rows, place, grades))
     kind = images.schema["im_id"].dataType.simpleString()
