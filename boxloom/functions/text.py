@@ -177,10 +177,21 @@ def full_model_name(name: Column) -> Column:
     return out
 
 
-def class_groups(classes: list[str], size: int, aliases: dict[str, list[str]] | None = None) -> list[list[str]]:
-    """Request groups of at most ``size`` classes, aliases of a class after it."""
-    wide = [n for c in classes for n in [c, *(aliases or {}).get(c, [])]]
-    return [wide[i : i + size] for i in range(0, len(wide), size)]
+def class_groups(
+    classes: list[str],
+    size: int | None = None,
+    aliases: dict[str, list[str]] | None = None,
+    given: list[list[str]] | None = None,
+) -> list[list[str]]:
+    """Request groups: the given ones, else ``size`` classes each, else one; then aliases take the place of their class."""
+    cut = given or ([classes[i : i + size] for i in range(0, len(classes), size)] if size else [classes])
+    return [[n for c in group for n in (aliases or {}).get(c, [c])] for group in cut]
+
+
+def class_of_alias(aliases: dict[str, list[str]]) -> dict[str, str]:
+    """Class of each alias, also as written with underscores; blank aliases name nothing."""
+    named = [(str(a).strip(), c) for c, own in aliases.items() for a in own or [] if a is not None and str(a).strip()]
+    return {spelled: c for a, c in named for spelled in (a, a.replace(" ", "_"))}
 
 
 def run_stamp(now: _dt.datetime | None = None) -> str:

@@ -85,7 +85,8 @@ class ResultStore:
         self.spark, self.path, self.keys = spark, path, keys
 
     def exists(self) -> bool:
-        return path_exists(self.spark, self.path)
+        """Whether any commit was written to its end."""
+        return path_exists(self.spark, f"{self.path}/_SUCCESS")
 
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.path)

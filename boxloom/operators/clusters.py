@@ -45,7 +45,14 @@ def exploded_detections(df: DataFrame, detections: str = "detections") -> DataFr
 def overlap_clusters(
     df: DataFrame, iou: float, image: str = "im_id", pos: str = "pos", limit: int | None = groups.GROUP_LIMIT
 ) -> DataFrame:
-    """Add ``cluster_id`` (0-based per image) and ``cluster_size`` to every box."""
+    """Add ``cluster_id`` (0-based per image) and ``cluster_size`` to every box.
+
+    At a threshold of zero or less every pair is linked: an image is one cluster.
+    """
+    if iou <= 0:
+        sizes = df.groupBy(image).agg(F.count(F.lit(1)).cast("int").alias("cluster_size"))
+        whole = groups.attach_one_per_key(df.withColumn("cluster_id", F.lit(0)), sizes, [image])
+        return whole.select(*df.columns, "cluster_id", "cluster_size")
     small, large = groups.split_by_size(df, [image], limit)
     out = _fold_clusters(small, iou, image, pos)
     if large is not None:

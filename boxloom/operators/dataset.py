@@ -83,7 +83,9 @@ def cleaned(df: DataFrame) -> DataFrame:
         "status", F.when(F.size("_kept") == 0, "empty").when(lone, "single_other").otherwise("kept")
     )
     texts = C.entries_text(columns, F.transform("_kept", lambda x: x["e"]), missing="")
-    return _with_texts(base, texts).drop("_all", "_kept")
+    out = _with_texts(base, texts).drop("_all", "_kept")
+    # Out of a generator, so a filter on the result does not copy the parsing into itself.
+    return out.select(F.inline(F.array(F.struct(*out.columns))))
 
 
 def cleaning_stats(clean: DataFrame) -> DataFrame:
@@ -387,14 +389,14 @@ def only_products(df: DataFrame, products: DataFrame) -> DataFrame:
     return groups.join_on(df, products.select("product").distinct(), ["product"], "left_semi")
 
 
-def product_json(df: DataFrame, limit: int | None = groups.ROW_LIMIT) -> DataFrame:
-    """One JSON item list per product, in input order; huge products come in several parts."""
+def product_json(df: DataFrame) -> DataFrame:
+    """One JSON item list per product, in input order."""
     from boxloom.operators.rollup import gathered
 
     placed = df.withColumn("_order", F.shiftleft(F.col("row").cast("long"), 20) + F.col("at"))
     element = F.struct("im_url", F.col("concept").alias("box_concept"), "box")
-    listed = gathered(placed, ["product"], "_order", element, limit)
-    return listed.select("product", F.to_json("items").alias("items"), "part")
+    listed = gathered(placed, ["product"], "_order", element)
+    return listed.select("product", F.to_json("items").alias("items"))
 
 
 def product_images(df: DataFrame, image: str = "main_image_url", additional: str = "additional_image_url") -> DataFrame:

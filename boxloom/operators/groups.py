@@ -21,10 +21,8 @@ from boxloom.session import checkpointed
 
 # Rows of one key that may be gathered and compared with each other in one array.
 GROUP_LIMIT = 1024
-# Rows of one key that may be gathered into one output row.
-ROW_LIMIT = 50_000
-# Rows a side may have to be broadcast; beyond it the join is salted instead.
-BROADCAST_ROWS = 200_000
+# Bytes a side may have to be broadcast; beyond it the join is salted instead.
+BROADCAST_BYTES = 16 << 20
 SALTS = 64
 
 
@@ -90,13 +88,15 @@ def split_by_size(df: DataFrame, keys: list[str], limit: int | None = GROUP_LIMI
     return join_null_safe(df, heads, keys, "left_anti"), join_null_safe(df, heads, keys, "left_semi")
 
 
-def attach_one_per_key(rows: DataFrame, side: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join ``side`` (one row per key) to rows of few, possibly huge keys.
+def attach_one_per_key(
+    rows: DataFrame, side: DataFrame, keys: list[str], how: str = "inner", row_bytes: int = 128
+) -> DataFrame:
+    """Join ``side`` (one row per key, of about ``row_bytes``) to rows of few, possibly huge keys.
 
     ``side`` is counted: small enough, it is broadcast; otherwise both sides
     are salted so that one key spreads over many tasks.
     """
-    if side.count() <= BROADCAST_ROWS:
+    if side.count() * row_bytes <= BROADCAST_BYTES:
         return join_null_safe(rows, F.broadcast(side), keys, how)
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns if c not in keys]), F.lit(SALTS))
     left = rows.withColumn("_salt", spread)
@@ -152,24 +152,10 @@ def ordered_rank(
     )
     # Every FAN-th border first, so a row is compared with about 2 * FAN of them.
     coarse = F.filter("_borders", lambda b, i: i % FAN == FAN - 1)
-    placed = attach_one_per_key(df, borders.withColumn("_coarse", coarse), keys)
+    width = 16 * (pieces + pieces // FAN)
+    placed = attach_one_per_key(df, borders.withColumn("_coarse", coarse), keys, row_bytes=width)
     placed = placed.withColumn("_skip", F.size(F.filter("_coarse", lambda b: b < F.col(order))) * FAN)
     fine = F.filter(F.slice("_borders", F.col("_skip") + 1, F.lit(FAN)), lambda b: b < F.col(order))
     placed = placed.withColumn("_bucket", F.col("_skip") + F.size(fine))
     return _rank_in_buckets(placed.drop("_borders", "_coarse", "_skip"), keys, "_bucket", [F.col(order)], rank)
 
-
-def with_part(df: DataFrame, keys: list[str], order: str, limit: int | None = ROW_LIMIT) -> DataFrame:
-    """Add ``part``: 0 for ordinary keys, consecutive ranges of ``order`` for large keys.
-
-    Grouping by (keys, part) then never gathers more than ``limit`` rows, and
-    no row is dropped: a large key simply yields several parts in order.
-    ``limit=None``: the caller has already seen that no key is large.
-    """
-    small, large = split_by_size(df, keys, limit)
-    small = small.withColumn("part", F.lit(0))
-    if large is None:
-        return small
-    ranked = ordered_rank(checkpointed(large), keys, order, "_rank")
-    part = F.floor((F.col("_rank") - 1) / F.lit(limit)).cast("int")
-    return small.unionByName(ranked.withColumn("part", part).drop("_rank"))

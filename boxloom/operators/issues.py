@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from boxloom.functions.codecs import class_list_cell, class_multiplicity, strings
 from boxloom.operators import groups
+from boxloom.session import checkpointed
 
 
 def labelled_detections(
@@ -79,6 +80,8 @@ def issue_table(
 
     Precision rows come first, then confirmed boxes, then missed classes.
     """
+    # Both sides read the clusters: written once, not clustered twice.
+    clusters = checkpointed(clusters)
     found = labelled_detections(clusters, annotations, relevant, min_score)
     rank = F.when(F.col("issue_type") == "precision", 0).otherwise(1)
     spread = F.lit(1 << 40).cast("long")

@@ -53,18 +53,26 @@ def without_overlapped(
     image: str = "im_id",
     pos: str = "pos",
     limit: int | None = groups.GROUP_LIMIT,
+    everywhere: bool = False,
 ) -> DataFrame:
     """Rows of ``boxes`` that no suppressor row of the same image hits.
 
     ``suppressors`` picks and renames the suppressing rows (columns get the
     prefix ``s_``).  The test does not depend on any order, so it is one
-    left-anti join.
+    left-anti join.  ``everywhere`` says that boxes needn't overlap to hit: then
+    the first and the last suppressor of each class of an image stand for all.
     """
-    small, large = groups.split_by_size(boxes, [image], limit)
 
     def prefixed(df: DataFrame) -> DataFrame:
         return df.select(*[F.col(c).alias(f"s_{c}") for c in df.columns])
 
+    if everywhere:
+        ends = suppressors(boxes)
+        row = F.struct(*[F.col(c) for c in ends.columns])
+        ends = ends.groupBy(image, "name").agg(F.array_distinct(F.array(F.min_by(row, F.col(pos)), F.max_by(row, F.col(pos)))).alias("_ends"))
+        right = prefixed(ends.select(F.inline("_ends")))
+        return boxes.join(right, (boxes[image] == right[f"s_{image}"]) & predicate(boxes, right), "left_anti")
+    small, large = groups.split_by_size(boxes, [image], limit)
     right = prefixed(suppressors(small))
     kept = small.join(right, (small[image] == right[f"s_{image}"]) & predicate(small, right), "left_anti")
     if large is None:

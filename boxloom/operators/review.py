@@ -151,49 +151,60 @@ def _added(columns: list[str], concept: Column, box: Column) -> Column:
     return _entry(columns, {"concepts": F.coalesce(concept, F.lit("")), "boxes": _int_box(box), **fixed})
 
 
-def corrected_rows(
-    df: DataFrame, corrections: DataFrame, order: str = "position", limit: int = groups.GROUP_LIMIT
-) -> DataFrame:
+def corrected_rows(df: DataFrame, corrections: DataFrame, order: str = "position") -> DataFrame:
     """Apply add / remove / replace / replace_multi corrections to image rows in order.
 
     Indices refer to the row as earlier corrections left it, so the
-    corrections of a row are folded over its entries.  Rows that were touched
-    lose placeholder boxes at the end.  Very long correction lists are applied
-    in consecutive parts of at most ``limit``.
+    corrections of a row are folded over its entries; rows without any are
+    passed on unread.  Rows that were touched lose placeholder boxes at the
+    end.  A correction of an unknown row, one that needs an index and has none, and a replacement
+    beyond the end of its row fail the job; ``refused_corrections`` lists those that need no fold to be seen.
     """
     columns = [c for c in C.ALIGNED if c in df.columns]
-    parted = groups.with_part(corrections, ["row_index"], order, limit)
     fields = ["action", "concept", "box", "concept_index", "new_concept", "new_box", "new_boxes"]
-    listed = parted.groupBy("row_index", "part").agg(
+    edits = corrections.groupBy(F.col("row_index").alias("row_id")).agg(
         F.sort_array(F.collect_list(F.struct(order, *fields))).alias("edits")
     )
+    # Unknown rows come out of the outer join without aligned columns.
+    known = df.select("row_id").distinct().withColumn("_known", F.lit(True))
+    checked = groups.join_on(edits, known, ["row_id"], "left")
+    unknown = F.raise_error(F.concat(F.lit("correction of an unknown row: "), F.coalesce(F.col("row_id").cast("string"), F.lit("NULL"))))
+    checked = checked.withColumn("edits", F.when(F.col("_known"), F.col("edits")).otherwise(unknown)).drop("_known")
+    joined = groups.join_on(df, checked, ["row_id"], "left")
     width = F.greatest(*[F.size(C.aligned_parts(c, F.col(c))) for c in columns])
-    state = df.withColumn("_entries", C.aligned_entries(columns, width)).withColumn("_edited", F.lit(False))
-    last_part = 0
-    if groups.large_groups(corrections, ["row_index"], limit) is not None:
-        last_part = listed.agg(F.max("part")).first()[0]
-    for part in range(last_part + 1):
-        edits = listed.filter(F.col("part") == part).select(F.col("row_index").alias("row_id"), "edits")
-        joined = groups.join_on(state, edits, ["row_id"], "left")
-        folded = F.when(
-            F.col("edits").isNotNull(),
-            F.aggregate("edits", F.col("_entries"), lambda entries, e: _apply(columns, entries, e)),
-        ).otherwise(F.col("_entries"))
-        state = joined.withColumn("_edited", F.col("_edited") | F.col("edits").isNotNull())
-        state = state.withColumn("_entries", folded).drop("edits")
-        if part < last_part:
-            state = groups.checkpointed(state)
-    real = F.filter("_entries", lambda e: F.replace(F.coalesce(e["boxes"], F.lit("")), F.lit(" "), F.lit("")) != C.ZERO_BOX)
-    state = state.withColumn("_entries", F.when(F.col("_edited"), real).otherwise(F.col("_entries")))
+    folded = F.aggregate("edits", C.aligned_entries(columns, width), lambda entries, e: _apply(columns, entries, e))
+    real = F.filter(folded, lambda e: F.replace(F.coalesce(e["boxes"], F.lit("")), F.lit(" "), F.lit("")) != C.ZERO_BOX)
+    state = joined.withColumn("_entries", F.when(F.col("edits").isNotNull(), real))
     texts = {}
     for c in columns:
+        # A column may be shorter than others: what it lacks stays lacking, and added entries follow its last one.
         values = F.filter(F.transform("_entries", C.field(c)), lambda v: v.isNotNull())
-        texts[c] = F.when(F.col("_edited"), C.aligned_text(c, values)).otherwise(F.col(c))
-    return state.withColumns(texts).drop("_entries", "_edited")
+        texts[c] = F.when(F.col("edits").isNotNull(), C.aligned_text(c, values)).otherwise(F.col(c))
+    return state.withColumns(texts).drop("_entries", "edits")
+
+
+def refused_corrections(df: DataFrame, corrections: DataFrame) -> DataFrame:
+    """Corrections that ``corrected_rows`` refuses whatever comes before them, with the reason."""
+    known = df.select(F.col("row_id").alias("row_index")).distinct().withColumn("_known", F.lit(True))
+    marked = groups.join_on(corrections, known, ["row_index"], "left")
+    needed = F.col("action").isin("remove", "replace", "replace_multi")
+    reason = (
+        F.when(F.col("_known").isNull(), "unknown row")
+        .when(needed & F.col("concept_index").isNull(), "no index")
+        .when((F.col("action") == "replace") & (F.col("concept_index") < 0), "negative index")
+    )
+    return marked.withColumn("reason", reason).filter(F.col("reason").isNotNull()).drop("_known")
 
 
 def _apply(columns: list[str], entries: Column, edit: Column) -> Column:
-    at = edit["concept_index"]
+    action = edit["action"]
+    given = edit["concept_index"]
+    # Removing beyond the end removes nothing; a replacement needs an entry to replace.
+    usable = given.isNotNull() & ((action != "replace") | ((given >= 0) & (given < F.size(entries))))
+    refused = F.raise_error(
+        F.concat(F.lit("correction without a usable index: "), action, F.lit(" "), F.coalesce(given.cast("string"), F.lit("NULL")))
+    )
+    at = F.when(usable, given).otherwise(refused.cast("int"))
     without = F.filter(entries, lambda e, i: i != at)
     new_concept = F.coalesce(edit["new_concept"], F.lit(""))
 
@@ -202,22 +213,30 @@ def _apply(columns: list[str], entries: Column, edit: Column) -> Column:
         values["concepts"] = F.when(new_concept != "", new_concept).otherwise(e["concepts"])
         values["boxes"] = F.when(F.coalesce(F.size(edit["new_box"]), F.lit(0)) > 0, _int_box(edit["new_box"])).otherwise(e["boxes"])
         values.update({k: F.lit(v) for k, v in REPLACED.items()})
-        return _entry(columns, values)
+        return _same_entry(columns, values)
+
+    def filled(e: Column) -> Column:
+        """Blanks where a column that the replacement marks was too short before it."""
+        return _same_entry(columns, {c: F.coalesce(e[c], F.lit("")) if c in REPLACED else e[c] for c in columns})
 
     several = F.transform(
         F.coalesce(edit["new_boxes"], F.array().cast("array<struct<concept:string,box:array<int>>>")),
         lambda n: _added(columns, n["concept"], n["box"]),
     )
-    action = edit["action"]
+    swapped = F.transform(entries, lambda e, i: F.when(i == at, replaced(e)).when(i < at, filled(e)).otherwise(e))
     return (
         F.when(action == "add", F.concat(entries, F.array(_added(columns, edit["concept"], edit["box"]))))
         .when(action == "remove", without)
-        .when(action == "replace", F.transform(entries, lambda e, i: F.when(i == at, replaced(e)).otherwise(e)))
+        .when(action == "replace", swapped)
         .when(action == "replace_multi", F.concat(without, several))
         .otherwise(entries)
     )
 
 
+def _same_entry(columns: list[str], values: dict[str, Column]) -> Column:
+    return F.struct(*[values[c].cast("string").alias(c) for c in columns])
+
+
 def exported_corrections(removed: DataFrame, drawn: DataFrame) -> DataFrame:
     """Edits as a correction list: removals from the highest index down, then additions.
 

@@ -15,10 +15,12 @@ IMAGE_ROW = [
 ]
 
 
-def gathered(df: DataFrame, keys: list[str], order: str, element: Column, limit: int | None = groups.ROW_LIMIT) -> DataFrame:
-    """Ordered array ``items`` per key; very large keys come in several numbered parts."""
-    parted = groups.with_part(df, keys, order, limit)
-    listed = parted.groupBy(*keys, "part").agg(
+def gathered(df: DataFrame, keys: list[str], order: str, element: Column) -> DataFrame:
+    """Ordered array ``items`` per key: one row, however many entries it has.
+
+    An entry is short; an image with 100,000 boxes is a row of a few MB.
+    """
+    listed = df.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct(F.col(order).alias("at"), element.alias("item")))).alias("items")
     )
     return listed.withColumn("items", F.transform("items", lambda x: x["item"]))
@@ -30,9 +32,8 @@ def image_rows(
     status: str = "no_issue",
     source: str = "model",
     order: str = "pos",
-    limit: int | None = groups.ROW_LIMIT,
 ) -> DataFrame:
-    """Image rows with the seven aligned columns as text, plus ``part``.
+    """Image rows with the seven aligned columns as text.
 
     Input: one row per box with im_url, im_id, im_name, im_description,
     top_class, top_box and, where known, box_status, box_source, gpt_reason
@@ -53,7 +54,7 @@ def image_rows(
         text("issue_type", "no_issue").alias("issue"),
         *[F.col(c).alias(c) for c in ("im_id", "im_name", "im_description")],
     )
-    rows = gathered(df, ["im_url"], order, element, limit)
+    rows = gathered(df, ["im_url"], order, element)
 
     def joined(field: str) -> Column:
         return F.array_join(F.transform("items", lambda x: x[field]), ",")
@@ -78,23 +79,19 @@ def image_rows(
         joined("source").alias("box_sources"),
         F.to_json(F.transform("items", lambda x: x["reason"])).alias("box_reasons"),
         joined("issue").alias("issue_types"),
-        "part",
     )
 
 
-def annotated_rows(
-    images: DataFrame, boxes: DataFrame, key: str = "im_id", limit: int | None = groups.ROW_LIMIT
-) -> DataFrame:
+def annotated_rows(images: DataFrame, boxes: DataFrame, key: str = "im_id") -> DataFrame:
     """Input rows with their final boxes as ``concepts``/``boxes`` text.
 
     Images without boxes keep their row with NULL in both columns.
     """
     element = F.struct(F.col("name").alias("name"), box_text(*[F.col(c) for c in ("x1", "y1", "x2", "y2")]).alias("box"))
-    rows = gathered(boxes, [key], "pos", element, limit).select(
+    rows = gathered(boxes, [key], "pos", element).select(
         key,
-        "part",
         F.array_join(F.transform("items", lambda x: x["name"]), ",").alias("concepts"),
         F.array_join(F.transform("items", lambda x: x["box"]), ",").alias("boxes"),
     )
     base = images.drop("concepts", "boxes")
-    return groups.join_on(base, rows, [key], "left").withColumn("part", F.coalesce("part", F.lit(0)))
+    return groups.join_on(base, rows, [key], "left")

@@ -198,8 +198,16 @@ def greedy_suppress(
     """
     if "by_enclosing" not in df.columns:
         df = df.withColumn("by_enclosing", F.lit(False))
+    columns = df.columns
+    # A threshold that every pair reaches leaves the first box of each group, however the boxes lie.
+    reached = (F.col("t_iou") < 0) if overlap is by_inclusive_iou else (F.col("t_iou") <= 0)
+    if overlap is by_iou_or_io_min:
+        reached = reached | (F.col("t_min") <= 0)
+    reached = F.coalesce(reached, F.lit(False))
+    alone = _first_of_groups(df.filter(reached), group, position, source, enclosing)
+    df = df.filter(~reached)
     small, large = groups.split_by_size(df, group, limit)
-    element = _element(df.columns, position, source)
+    element = _element(columns, position, source)
     out = _rows(_fold(small, group, element, overlap, source is not None, enclosing), group, df.columns, source)
     if large is not None:
         pad = 1.0 if overlap is by_inclusive_iou else 0.0
@@ -207,7 +215,34 @@ def greedy_suppress(
         if enclosing:
             large = _flag_enclosing(large, group, position)
         out = out.unionByName(_suppress_in_rounds(large, group, overlap, position, source, pad).select(*out.columns))
-    return out
+    return out.unionByName(alone.select(*out.columns))
+
+
+def _first_of_groups(df: DataFrame, group: list[str], position: str, source: str | None, enclosing: bool) -> DataFrame:
+    """First box by rank of each group, with the labels of all in order of rank: every box hits every other."""
+    if enclosing:
+        # Under the enclosing rule a box with two smaller ones comes last: only the two smallest areas matter.
+        area = G.ordering_area(G.box())
+        least = df.groupBy(*group).agg(F.min(area).alias("_least"))
+        marked = groups.join_null_safe(df, least, group)
+        beside = marked.groupBy(*group).agg(
+            F.count(F.when(area == F.col("_least"), 1)).alias("_n"), F.min(F.when(area > F.col("_least"), area)).alias("_next")
+        )
+        second = F.when(F.col("_n") >= 2, F.col("_least")).otherwise(F.coalesce("_next", "_least"))
+        late = F.when(area > second, 1.0).otherwise(0.0)
+        marked = groups.join_null_safe(marked, beside, group)
+        df = marked.withColumn("k0", F.when(F.col("by_enclosing"), late).otherwise(F.col("k0"))).select(*df.columns)
+    ranked = df.withColumn("_rank", F.struct("k0", "k1", position))
+    rest = [c for c in df.columns if c not in group]
+    first = ranked.groupBy(*group).agg(F.min_by(F.struct(*rest), F.col("_rank")).alias("_row"))
+    out = first.select(*[F.col(c) if c in group else F.col("_row")[c].alias(c) for c in df.columns])
+    if source is not None:
+        labels = ranked.select(*group, "_rank", F.explode(_labels(source)).alias("label"))
+        labels = labels.groupBy(*group, "label").agg(F.min("_rank").alias("_rank")).filter(F.col("label") != "")
+        joined = labels.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("_rank", "label"))).alias("_all"))
+        texts = joined.select(*group, F.array_join(F.transform("_all", lambda x: x["label"]), ", ").alias("_text"))
+        out = groups.join_null_safe(out, texts, group, "left").withColumn(source, F.coalesce("_text", F.lit(""))).drop("_text")
+    return out.drop(*HELPERS)
 
 
 def _sides(cells: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame, Column]:
@@ -470,7 +505,7 @@ def suppress_across_classes(
         return listed & apart & (G.iou(suppressor_box(right), frame_box(left)) >= iou)
 
     winners = [w for w, losers in rules.items() if losers]
-    return without_overlapped(df, lambda d: d.filter(F.col("name").isin(winners)), hits, image, limit=limit)
+    return without_overlapped(df, lambda d: d.filter(F.col("name").isin(winners)), hits, image, limit=limit, everywhere=iou <= 0)
 
 
 def clean_before_suppression(
@@ -484,7 +519,9 @@ def clean_before_suppression(
             G.iou(suppressor_box(right), frame_box(left)) > iou
         )
 
-    return without_overlapped(named, lambda d: d.filter(class_key(F.col("name")) == PRIORITY_CLASS), hits, image, limit=limit)
+    return without_overlapped(
+        named, lambda d: d.filter(class_key(F.col("name")) == PRIORITY_CLASS), hits, image, limit=limit, everywhere=iou < 0
+    )
 
 
 def cap_boxes(

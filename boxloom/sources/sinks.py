@@ -42,7 +42,7 @@ def write_crops(df: DataFrame, path: str) -> None:
 
 
 def stage(df: Callable[[], DataFrame], spark, path: str) -> DataFrame:
-    """Result of a stage: read when it was written before, else computed, written and read back."""
-    if not path_exists(spark, path):
-        df().write.parquet(path)
+    """Result of a stage: read when it was written to its end before, else computed, written and read back."""
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        df().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -92,7 +92,7 @@ def a4(spark, sf):
 ROLLUP = """SELECT 'http://img.test/' || im_id || '.jpg' AS im_url, string_agg(name, ',' ORDER BY pos) AS concepts,
   string_agg('[' || CAST(x1 AS BIGINT) || ',' || CAST(y1 AS BIGINT) || ',' || CAST(x2 AS BIGINT) || ',' || CAST(y2 AS BIGINT) || ']', ',' ORDER BY pos) AS boxes,
   string_agg('true', ',') AS optional, string_agg('no_issue', ',') AS box_statuses, string_agg(source, ',' ORDER BY pos) AS box_sources,
-  '[' || string_agg('"box ' || pos || '"', ',' ORDER BY pos) || ']' AS box_reasons, 0 AS part
+  '[' || string_agg('"box ' || pos || '"', ',' ORDER BY pos) || ']' AS box_reasons
   FROM ({boxes}) GROUP BY im_id"""
 
 
@@ -110,7 +110,7 @@ def as_rows(d: DataFrame) -> DataFrame:
     )
 
 
-ROLLED = ["im_url", "concepts", "boxes", "optional", "box_statuses", "box_sources", "box_reasons", "part"]
+ROLLED = ["im_url", "concepts", "boxes", "optional", "box_statuses", "box_sources", "box_reasons"]
 
 
 @query("a9_rollup", ROLLUP.replace("{boxes}", "SELECT * FROM detections"))

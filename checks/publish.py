@@ -286,7 +286,7 @@ def a15(spark, sf):
 
 @query(
     "a17_product_items",
-    f"""SELECT 'image ' || (im_id % 500) AS product, string_agg(concept || box, '|' ORDER BY im_id, i) AS items, 0 AS part
+    f"""SELECT 'image ' || (im_id % 500) AS product, string_agg(concept || box, '|' ORDER BY im_id, i) AS items
         FROM (SELECT im_id, concept, box, min(i) AS i FROM ({PAIRS}) GROUP BY ALL) GROUP BY 1""",
 )
 def a17(spark, sf):
@@ -295,7 +295,7 @@ def a17(spark, sf):
     text = F.transform(
         items, lambda a: F.concat(a["box_concept"], F.lit("["), F.array_join(a["box"].cast("array<bigint>").cast("array<string>"), ","), F.lit("]"))
     )
-    return out.select("product", F.array_join(text, "|").alias("items"), "part")
+    return out.select("product", F.array_join(text, "|").alias("items"))
 
 
 @query(

@@ -116,10 +116,9 @@ EDITS = [
 ]
 
 
-@pytest.mark.parametrize("limit", [1024, 2])
-def test_corrections_in_order(spark, limit):
+def test_corrections_in_order(spark):
     edits = spark.createDataFrame(EDITS, CORR)
-    out = {r["row_id"]: r for r in review.corrected_rows(aligned(spark), edits, limit=limit).collect()}
+    out = {r["row_id"]: r for r in review.corrected_rows(aligned(spark), edits).collect()}
     first = out[0]
     assert (first["concepts"], first["boxes"]) == ("z,p", "[3,3,4,4],[7,7,8,8]")
     assert (first["box_sources"], first["box_statuses"], first["optional"]) == ("human,human", "human_drawn,human_drawn", "true,true")
@@ -128,6 +127,34 @@ def test_corrections_in_order(spark, limit):
     assert out[1]["concepts"] == "n" and out[2]["boxes"] == "[0,0,0,0]"
 
 
+def test_replacing_in_short_columns(spark):
+    schema = "row_id int, concepts string, boxes string, box_statuses string, box_sources string, issue_types string"
+    rows = spark.createDataFrame([(0, "ring,belt", "[1,1,2,2],[3,3,4,4]", "s", "", "")], schema)
+    edits = spark.createDataFrame([correction(0, "replace", 0, concept_index=1, new_concept="bag")], CORR)
+    out = review.corrected_rows(rows, edits).first()
+    assert (out["concepts"], out["boxes"]) == ("ring,bag", "[1,1,2,2],[3,3,4,4]")
+    assert (out["box_statuses"], out["box_sources"], out["issue_types"]) == ("s,human_drawn", ",human", ",no_issue")
+    edits = spark.createDataFrame([correction(0, "add", 0, concept="bag", box=[5, 5, 6, 6]), correction(0, "remove", 1, concept_index=9)], CORR)
+    out = review.corrected_rows(rows, edits).first()
+    assert (out["concepts"], out["box_statuses"], out["box_sources"], out["issue_types"]) == ("ring,belt,bag", "s,human_drawn", "human", "no_issue")
+
+
+@pytest.mark.parametrize(
+    ("bad", "reason"),
+    [
+        (correction(0, "remove", 0), "no index"),
+        (correction(0, "replace", 0, concept_index=-1, new_concept="z"), "negative index"),
+        (correction(0, "replace", 0, concept_index=9, new_concept="z"), None),
+        (correction(77, "add", 0, concept="z", box=[1, 1, 2, 2]), "unknown row"),
+    ],
+)
+def test_unusable_corrections_fail(spark, bad, reason):
+    edits = spark.createDataFrame([bad], CORR)
+    with pytest.raises(Exception, match="correction"):
+        review.corrected_rows(aligned(spark), edits).collect()
+    assert [r["reason"] for r in review.refused_corrections(aligned(spark), edits).collect()] == ([reason] if reason else [])
+
+
 def test_exported_edits(spark):
     removed = spark.createDataFrame([(1, 0), (1, 4)], "row_index int, concept_index int")
     drawn = spark.createDataFrame([(1, 0, "a", [1, 1, 9, 9]), (1, 1, "b", [1, 1, 4, 9])], "row_index int, draw_no int, concept string, box array<int>")

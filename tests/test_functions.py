@@ -107,7 +107,10 @@ def test_names_and_modes(spark):
     assert T.run_mode(" Full ") == "full"
     with pytest.raises(ValueError):
         T.run_mode("half")
-    assert T.class_groups(["a", "b", "c"], 2, {"a": ["x"]}) == [["a", "x"], ["b", "c"]]
+    assert T.class_groups(["a", "b", "c"], 2, {"a": ["x", "y"]}) == [["x", "y", "b"], ["c"]]
+    assert T.class_groups(["a", "b"]) == [["a", "b"]]
+    assert T.class_groups(["a", "b"], 1, {"b": ["z"]}, given=[["b", "a"]]) == [["z", "a"]]
+    assert T.class_of_alias({"a": ["big hat", " ", None], "b": None}) == {"big hat": "a", "big_hat": "a"}
     assert T.run_stamp(dt.datetime(2024, 5, 3, 14, 7)) == "1407_030524"
     assert T.dataset_label("/data/cool_brand/spring-sample") == "cool brand spring"
     assert one(spark, x=T.full_model_name(F.lit("Nano"))) == "gpt-4.1-nano"

@@ -34,15 +34,12 @@ def test_hashed_rank(spark):
     assert {r["id"]: r["rank"] for r in out.collect()} == expected_ranks(df, lambda r: r["h"])
 
 
-def test_parts_keep_every_row_in_order(spark):
+def test_gathered_is_one_row_in_order(spark):
     df = skewed(spark)
-    rows = gathered(df, ["k"], "v", F.col("v"), limit=100).collect()
-    assert max(len(r["items"]) for r in rows) <= 100
-    for key in {r["k"] for r in rows}:
-        parts = sorted((r for r in rows if r["k"] == key), key=lambda r: r["part"])
-        assert [p["part"] for p in parts] == list(range(len(parts)))
-        joined = [v for p in parts for v in p["items"]]
-        assert joined == sorted(r["v"] for r in df.collect() if r["k"] == key)
+    rows = gathered(df, ["k"], "v", F.col("v")).collect()
+    assert len(rows) == len({r["k"] for r in rows})
+    for row in rows:
+        assert row["items"] == sorted(r["v"] for r in df.collect() if r["k"] == row["k"])
 
 
 def test_first_and_last_per_key(spark):
@@ -64,7 +61,7 @@ def test_salted_join_equals_broadcast(spark, monkeypatch):
     df = skewed(spark, 500)
     side = df.select("k").distinct().withColumn("w", F.coalesce("k", F.lit(-1)) * 2)
     plain = sorted(map(str, groups.attach_one_per_key(df, side, ["k"]).collect()))
-    monkeypatch.setattr(groups, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(groups, "BROADCAST_BYTES", 0)
     assert sorted(map(str, groups.attach_one_per_key(df, side, ["k"]).collect())) == plain
 
 

@@ -232,3 +232,29 @@ def test_priority_class_in_large_images(spark, limit):
         or not any(a["name"] == "jewelry product" and a["im"] == b["im"] and iou(a["box"], b["box"])[0] > 0.2 for a in boxes)
     ]
     assert kept(S.clean_before_suppression(frame(spark, boxes), 0.2, limit=limit)) == expected
+
+
+@pytest.mark.parametrize("threshold", [0.0, -1.0])
+@pytest.mark.parametrize("limit", [1024, 5])
+def test_thresholds_that_every_pair_reaches(spark, threshold, limit):
+    """Boxes far apart hit each other too, in small and in large groups."""
+    boxes = crowd(60, 17, span=4000)
+    df = frame(spark, boxes)
+    for keep, key in KEYS.items():
+        if keep == "keep_smaller_if_encloses_multiple":
+            key = lambda m, ms: (sum(size(o) < size(m[1]) for _, o in ms) >= 2, -size(m[1]))
+        out = S.suppress_by_policy(df, {"general": S.Policy(threshold, 0.7, keep)}, limit=limit).collect()
+        assert {r["pos"]: r["source"] for r in out} == brute_greedy(boxes, key, lambda a, b: True, lambda b: (b["im"], b["name"]))
+    one_each = len({(b["im"], b["name"]) for b in boxes})
+    assert len(kept(S.suppress_ground_truth(df, threshold, limit=limit))) == one_each
+    assert len(kept(S.suppress_smallest_first(df, threshold, 0.7, limit=limit))) == one_each
+    inclusive = kept(S.suppress_inclusive(df, threshold, limit=limit))
+    assert (len(inclusive) == one_each) if threshold < 0 else inclusive == kept(S.suppress_inclusive(df, threshold))
+    out = clusters.overlap_clusters(df, threshold, limit=limit).collect()
+    assert {r["pos"]: r["cluster_id"] for r in out} == brute_clusters(boxes, threshold)
+    expected = [
+        j + 1
+        for j, b in enumerate(boxes)
+        if not any(i != j and a["im"] == b["im"] and a["name"] == "ring" and b["name"] in ("earring", "ring") for i, a in enumerate(boxes))
+    ]
+    assert kept(S.suppress_across_classes(df, {"ring": ["earring", "ring"]}, threshold, limit=limit)) == expected
