@@ -18,7 +18,7 @@ from boxloom.llm import words as W
 from boxloom.llm.frames import Batches, described, in_tasks, lists, ship
 
 #: Bytes of text whose words share one local list.
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 8 << 20
 #: Words given to the tokenizer at once.
 ENCODE_WORDS = 20_000
 BLANK = pa.scalar(" ", pa.large_string())
