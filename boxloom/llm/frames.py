@@ -22,7 +22,13 @@ def described(images: DataFrame) -> DataFrame:
 def in_tasks(df: DataFrame, step: Callable[[Batches], Batches], schema: str) -> DataFrame:
     """Run ``step`` over Arrow batches of each partition; workers get this library's code."""
     ship(df.sparkSession)
-    return df.mapInArrow(step, schema)
+
+    def whole(batches: Batches) -> Batches:
+        yield from step(batches)
+        # Workers live on: what this partition needed goes back to the machine.
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(whole, schema)
 
 
 def ship(spark: SparkSession) -> None:

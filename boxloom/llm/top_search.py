@@ -14,7 +14,7 @@ from boxloom.llm.frames import ship
 SHARD_ROWS = 8192
 BLOCK_ROWS = 512
 #: Vectors scored in full to start from.
-FIRST_ROWS = 256
+FIRST_ROWS = 2048
 #: Terms probed between two looks at what is still competitive.
 PROBED = 8
 
@@ -35,7 +35,8 @@ class Postings:
         self.lists = []
         for row in self.values:
             at = np.flatnonzero(row)
-            self.lists.append(None if len(at) == self.n else at)
+            # A list of most vectors is added up whole; zeros change nothing.
+            self.lists.append(None if 4 * len(at) > self.n else at)
         self.most = np.maximum(values.max(axis=0), 0) if self.n else np.zeros(values.shape[1], values.dtype)
         self.least = np.minimum(values.min(axis=0), 0) if self.n else np.zeros(values.shape[1], values.dtype)
 
@@ -57,12 +58,13 @@ class Postings:
         else:
             essential, seen = int(np.searchsorted(-rest, -floor)), np.zeros(self.n, dtype=bool)
         scores = np.zeros(self.n, dtype=self.values.dtype)
+        full = np.array([t for t in order[:essential] if self.lists[t] is None], dtype=np.int64)
+        if len(full):
+            scores += query[full] @ self.values[full]
+            seen = None
         for term in order[:essential]:
             own = self.lists[term]
-            if own is None:
-                scores += query[term] * self.values[term]
-                seen = None
-            else:
+            if own is not None:
                 scores[own] += query[term] * self.values[term][own]
                 if seen is not None:
                     seen[own] = True
@@ -112,7 +114,7 @@ def _shard_best(k: int):
         cuts, size = [0], FIRST_ROWS
         while cuts[-1] < len(own):
             cuts.append(min(len(own), cuts[-1] + size))
-            size *= 2
+            size *= 8
         parts = [Postings(own[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         coded = pa.chunked_array([*vectors.column("im_id").chunks, *queries.column("im_id").chunks]).combine_chunks().dictionary_encode()
         codes = coded.indices.to_numpy()
