@@ -21,9 +21,11 @@ from boxloom.functions import codecs as C
 from boxloom.functions import geometry as G
 from boxloom.functions.text import flagged_reason
 from boxloom.operators import groups
+from boxloom.session import checkpointed
 from boxloom.sources.paths import path_exists
 
 RUN = "_run"
+ERROR = "_error"
 
 DETECTION = T.StructType(
     [
@@ -50,13 +52,16 @@ class RowAnnotator:
 
 
 def run_annotator(
-    df: DataFrame, keys: list[str], annotator: RowAnnotator, threads: int = 4, timeout: float | None = 120.0
+    df: DataFrame, keys: list[str], annotator: RowAnnotator, threads: int = 4, timeout: float | None = 120.0, errors: bool = False
 ) -> DataFrame:
     """Keys and model fields of every row; rows whose call fails or times out are left out.
 
+    With ``errors`` they stay, with empty fields and the reason in the column ``_error``.
     ``threads`` calls of one task wait at the same time (the work is remote).
     """
     schema = T.StructType([df.schema[k] for k in keys] + list(annotator.fields))
+    if errors:
+        schema = schema.add(ERROR, T.StringType())
     names = [f.name for f in schema]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -69,11 +74,13 @@ def run_annotator(
             for row, call in zip(rows, calls):
                 try:
                     result = call.result(timeout=timeout)
-                except (CallTimeout, Exception):
+                except (CallTimeout, Exception) as error:
+                    if errors:
+                        out.append({**{k: row[k] for k in keys}, ERROR: f"{type(error).__name__}: {error}"[:1000]})
                     continue
                 out.append({**{k: row[k] for k in keys}, **{f.name: result.get(f.name) for f in annotator.fields}})
             pool.shutdown(wait=False, cancel_futures=True)
-            yield pd.DataFrame(out, columns=names)
+            yield pd.DataFrame(out, columns=names, dtype=object)
 
     return df.mapInPandas(run, schema)
 
@@ -104,6 +111,15 @@ class ResultStore:
     def append(self, df: DataFrame, run: int) -> None:
         df.withColumn(RUN, F.lit(run).cast("long")).write.mode("append").parquet(self.path)
 
+    def append_failed(self, df: DataFrame, run: int) -> None:
+        """Keys and reasons of calls that gave no result, beside the store."""
+        df.withColumn(RUN, F.lit(run).cast("long")).write.mode("append").parquet(f"{self.path}-failed")
+
+    def failed(self) -> DataFrame | None:
+        """All failed calls so far; a key may have a result by now."""
+        path = f"{self.path}-failed"
+        return self.spark.read.parquet(path) if path_exists(self.spark, f"{path}/_SUCCESS") else None
+
     def stored(self, df: DataFrame) -> DataFrame:
         """Stored results for the keys of ``df``."""
         return groups.join_null_safe(self.read(), df.select(*self.keys).distinct(), self.keys, "left_semi")
@@ -133,7 +149,8 @@ def annotated(
     """Model results for the keys of ``df``; only missing keys are computed.
 
     A key that occurs several times is computed once.  ``rounds`` > 1 appends
-    in that many commits, so a failed run keeps its finished rounds.  New
+    in that many commits, so a failed run keeps its finished rounds.  Calls that failed
+    are listed by ``store.failed()`` and tried again next time.  New
     results with an empty field are not returned.
     """
     run = store.next_run()
@@ -149,7 +166,12 @@ def annotated(
         part = waiting
         if rounds > 1:
             part = waiting.filter(F.pmod(F.xxhash64(*keys), F.lit(rounds)) == i)
-        store.append(run_annotator(part.repartition(tasks, *keys), keys, annotator, threads, timeout), run)
+        # Written once: both tables come from the same calls.
+        calls = checkpointed(run_annotator(part.repartition(tasks, *keys), keys, annotator, threads, timeout, errors=True))
+        store.append(calls.filter(F.col(ERROR).isNull()).drop(ERROR), run)
+        failed = calls.filter(F.col(ERROR).isNotNull()).select(*keys, ERROR)
+        if not failed.isEmpty():
+            store.append_failed(failed, run)
     fields = [f.name for f in annotator.fields]
     found = store.stored(df)
     complete = F.col(RUN) < run

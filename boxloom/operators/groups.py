@@ -136,6 +136,32 @@ def hashed_rank(
     return _rank_in_buckets(bucketed, keys, "_bucket", [F.col(hash_column), F.col(tie)], rank)
 
 
+def hashed_head(
+    df: DataFrame, keys: list[str], hash_column: str, tie: str, limits: DataFrame | int, rank: str = "rank", prefix: int = 4
+) -> DataFrame:
+    """Rows whose place in the order of a hash text is within their key's limit, with that place.
+
+    ``limits`` is one number or a table of ``keys`` and ``limit``; keys without a limit have no rows.
+    The totals of the hash buckets, one narrow count, say which buckets can hold such
+    rows; only their rows are shuffled and sorted, not the whole pool.
+    """
+    bucketed = df.withColumn("_bucket", F.substring(F.col(hash_column), 1, prefix))
+    sizes = bucketed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    before = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+    if isinstance(limits, int):
+        offsets = offsets.withColumn("limit", F.lit(limits))
+    else:
+        offsets = join_on(offsets, limits, keys)
+    key = F.struct(*keys, "_bucket").alias("_key")
+    # Written, so the join knows how few buckets there are.
+    heads = checkpointed(offsets.filter(F.col("_before") < F.col("limit")).select(key, "_before", F.col("limit").alias("_limit")))
+    joined = join_on(bucketed.select("*", key).drop("_bucket"), heads, ["_key"])
+    inside = F.row_number().over(W.partitionBy("_key").orderBy(hash_column, tie))
+    ranked = joined.withColumn(rank, (F.col("_before") + inside).cast("long"))
+    return ranked.filter(F.col(rank) <= F.col("_limit")).drop("_before", "_key", "_limit")
+
+
 FAN = 64
 
 

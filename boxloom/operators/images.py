@@ -24,7 +24,9 @@ def pixel_crops(
     """
     wanted = rectangles.filter((F.col("cx2") > F.col("cx1")) & (F.col("cy2") > F.col("cy1")))
     element = F.struct(F.col("pos").alias("box_no"), "name", "cx1", "cy1", "cx2", "cy2")
-    listed = gathered(wanted, [image], "pos", element, limit)
+    listed = gathered(wanted, [image], "pos", element)
+    starts = F.sequence(F.lit(1), F.size("items"), F.lit(limit))
+    listed = listed.withColumn("items", F.explode(F.transform(starts, lambda at: F.slice("items", at, limit))))
     # Pixel columns are far larger than size estimates say: never broadcast them.
     pixels = images.select(image, "image_h", "image_w", "channels", "pixels")
     joined = groups.join_on(pixels, listed.hint("merge"), [image])

@@ -35,7 +35,8 @@ def batches(ranked: DataFrame, size: int, rank: str = "rank") -> DataFrame:
 
 def random_rows(df: DataFrame, id_column: str, n: int, seed: int = 42) -> DataFrame:
     """``n`` rows by seeded order."""
-    return shuffled(df, id_column, seed, "_n").filter(F.col("_n") <= n).drop("_n")
+    hashed = df.withColumn("_h", groups.seeded_hash(F.col(id_column), seed))
+    return groups.hashed_head(hashed, [], "_h", id_column, n, "_n").drop("_h", "_n")
 
 
 # --- budgets ----------------------------------------------------------------
@@ -113,13 +114,11 @@ def stratified_sample(
 ) -> DataFrame:
     """Per category the first ``budget`` rows in seeded order.
 
-    Budgets (one row per category) should be a written table, so that the join
-    on the uneven category column knows their size and need not shuffle rows.
+    ``budgets`` has one row per category.
     """
     hashed = pool.withColumn("_h", groups.seeded_hash(F.col(id_column), seed))
-    ranked = groups.hashed_rank(hashed, [category], "_h", id_column, "rank").drop("_h")
-    limits = budgets.select(F.col("category").alias(category), "budget")
-    return groups.join_on(ranked, limits, [category]).filter(F.col("rank") <= F.col("budget")).drop("budget")
+    limits = budgets.select(F.col("category").alias(category), F.col("budget").alias("limit"))
+    return groups.hashed_head(hashed, [category], "_h", id_column, limits, "rank").drop("_h")
 
 
 def budget_report(budgets: DataFrame) -> DataFrame:
@@ -163,9 +162,8 @@ def ratio_sample(
     need = ratio_targets({r["gender"]: r["n"] for r in forced}, smallest)
     rest = marked.filter(~F.col("must_include") & F.col("gender").isin("women", "men"))
     hashed = rest.withColumn("_h", groups.seeded_hash(F.col(id_column), seed))
-    ranked = groups.hashed_rank(hashed, ["gender"], "_h", id_column, "_n")
-    quota = F.when(F.col("gender") == "women", need["women"]).otherwise(need["men"])
-    filled = ranked.filter(F.col("_n") <= quota).drop("_n", "_h")
+    limits = df.sparkSession.createDataFrame(list(need.items()), "gender string, limit long")
+    filled = groups.hashed_head(hashed, ["gender"], "_h", id_column, limits, "_n").drop("_n", "_h")
     return shuffled(marked.filter("must_include").unionByName(filled), id_column, seed + 1)
 
 

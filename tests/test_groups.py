@@ -1,5 +1,6 @@
 """Ranks, parts and first rows when one key holds most of the rows."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from boxloom.operators import groups
@@ -34,6 +35,17 @@ def test_hashed_rank(spark):
     assert {r["id"]: r["rank"] for r in out.collect()} == expected_ranks(df, lambda r: r["h"])
 
 
+@pytest.mark.parametrize("limit", [0, 1, 7, 10**6])
+def test_hashed_head_is_the_start_of_the_rank(spark, limit):
+    df = skewed(spark).withColumn("h", groups.seeded_hash(F.col("id"), 3))
+    whole = groups.hashed_rank(df, ["k"], "h", "id", prefix=2)
+    limits = df.select("k").distinct().withColumn("limit", F.coalesce(F.col("k"), F.lit(0)) + limit)
+    want = {(r["id"], r["rank"]) for r in whole.collect() if r["k"] is not None and r["rank"] <= r["k"] + limit}
+    got = groups.hashed_head(df, ["k"], "h", "id", limits, prefix=2)
+    assert {(r["id"], r["rank"]) for r in got.collect()} == want
+    assert groups.hashed_head(df, [], "h", "id", limit).count() == min(limit, df.count())
+
+
 def test_gathered_is_one_row_in_order(spark):
     df = skewed(spark)
     rows = gathered(df, ["k"], "v", F.col("v")).collect()

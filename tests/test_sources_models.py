@@ -190,6 +190,32 @@ def test_timeouts_are_skipped(spark):
     assert [r["k"] for r in A.run_annotator(df, ["k"], Slow(), timeout=0.5).collect()] == [1]
 
 
+class Broken(A.RowAnnotator):
+    fields = ST.StructType([ST.StructField("answer", ST.StringType())])
+
+    def process(self, row):
+        if row["k"] % 2 == 0:
+            raise ValueError(f"no answer for {row['k']}")
+        return {"answer": "ok"}
+
+
+def test_failed_calls_are_listed_and_tried_again(spark, tmp_path):
+    df = spark.createDataFrame([(k,) for k in range(4)], "k int")
+    store = A.ResultStore(spark, str(tmp_path / "store"), ["k"])
+    assert store.failed() is None
+    for run in (0, 1):
+        assert sorted(r["k"] for r in A.annotated(df, ["k"], Broken(), store, tasks=2).collect()) == [1, 3]
+        assert sorted((r["k"], r["_run"]) for r in store.failed().collect()) == sorted((k, n) for k in (0, 2) for n in range(run + 1))
+    assert {r["_error"] for r in store.failed().collect()} == {"ValueError: no answer for 0", "ValueError: no answer for 2"}
+
+
+def test_half_written_stage_is_written_again(spark, tmp_path):
+    path = str(tmp_path / "half")
+    spark.range(2).write.parquet(path)
+    (tmp_path / "half" / "_SUCCESS").unlink()
+    assert sinks.stage(lambda: spark.range(5), spark, path).count() == 5
+
+
 def test_stream_annotates_arrivals(spark, tmp_path):
     inbox = tmp_path / "inbox"
     spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string").write.parquet(str(inbox))
