@@ -37,12 +37,19 @@ class Counter:
         return n
 
 
-def run_bounds(block: W.Block, row: int) -> np.ndarray:
-    """Byte bounds of the row's runs: each but the first starts where the word before it ends."""
-    low, high = int(block.bounds[row]), int(block.bounds[row + 1])
-    first, last = int(block.offsets[row]), int(block.offsets[row + 1])
-    bounds = np.concatenate([[first], block.ends[low:high], [last]])
-    return np.unique(bounds)
+def run_bounds(block: W.Block) -> np.ndarray:
+    """Byte bounds of all runs of the block: each but a row's first starts where the word before it ends."""
+    return np.unique(np.concatenate([block.offsets, block.ends]))
+
+
+def run_counts(block: W.Block, bounds: np.ndarray, counter: Counter) -> np.ndarray:
+    """Tokens of each run; equal runs of a block are looked up once."""
+    if len(bounds) < 2:
+        return np.zeros(0, dtype=np.int64)
+    buffers = [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(block.data)]
+    coded = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, buffers).dictionary_encode()
+    distinct = np.array([counter.count(run) for run in coded.dictionary.to_pylist()], dtype=np.int64)
+    return distinct[coded.indices.to_numpy()]
 
 
 def _sums(leaves: np.ndarray) -> np.ndarray:
@@ -83,11 +90,13 @@ def _tree_rows(ranks):
             for block in W.blocks(batch.column(1), W.BLANKS):
                 points = np.zeros(len(block.data) + 1, dtype=np.int64)
                 np.cumsum((block.data & 0xC0) != 0x80, out=points[1:])
-                data, trees, chars, runs = block.data.tobytes(), [], [], []
+                trees, chars, runs = [], [], []
+                all_bounds = run_bounds(block)
+                all_counts = run_counts(block, all_bounds, counter)
+                first = np.searchsorted(all_bounds, block.offsets)
                 for row in range(block.n_rows):
-                    bounds = run_bounds(block, row)
-                    cuts = bounds.tolist()
-                    counts = np.array([counter.count(data[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], dtype=np.int64)
+                    bounds = all_bounds[first[row] : first[row + 1] + 1]
+                    counts = all_counts[first[row] : first[row + 1]]
                     at = np.arange(0, len(counts), LEAF_RUNS)
                     ends = np.append(at[1:], len(counts)) if len(at) else at
                     trees.append(_sums(np.add.reduceat(counts, at) if len(at) else np.zeros(1, dtype=np.int64)))
@@ -111,7 +120,7 @@ def _tree_rows(ranks):
 
 def _runs(text: str) -> list[bytes]:
     block = next(W.blocks(pa.array([text]), W.BLANKS))
-    cuts = run_bounds(block, 0).tolist()
+    cuts = run_bounds(block).tolist()
     data = block.data.tobytes()
     return [data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
