@@ -31,6 +31,7 @@ from boxloom.functions.codecs import let
 from boxloom.functions.text import class_key
 from boxloom.operators import groups
 from boxloom.operators.overlap import frame_box, gridded, once_per_pair, suppressor_box, without_overlapped
+from boxloom.session import forget
 
 CORNERS = ["x1", "y1", "x2", "y2"]
 # Columns the plans below add to a box table; dropped from every result.
@@ -297,7 +298,9 @@ def _suppress_in_rounds(
         winners = groups.checkpointed(_local_winners(pending, group, position))
         beaten = _beaten(pending, winners, keys, group, overlap, position)
         decided = winners.select(*keys).unionByName(beaten)
-        pending = groups.checkpointed(groups.join_null_safe(pending, decided, keys, "left_anti"))
+        before, pending = pending, groups.checkpointed(groups.join_null_safe(pending, decided, keys, "left_anti"))
+        if before is not cells:
+            forget(before)
         kept.append(winners.select(*keys))
         now = pending.select(*keys).distinct().count()
         settled, left = left - now, now
@@ -352,10 +355,12 @@ def _conflict_free(cells: DataFrame, group: list[str], overlap: Overlap, positio
         by_free = groups.join_null_safe(conflicts, free.withColumnRenamed(position, "better"), [*group, "better"], "left_semi")
         lost = groups.checkpointed(by_free.select(*group, F.col("worse").alias(position)).distinct())
         settled = free.unionByName(lost)
+        before = undecided, conflicts, lost
         undecided = groups.checkpointed(groups.join_null_safe(undecided, settled, keys, "left_anti"))
         conflicts = groups.join_null_safe(conflicts, settled.withColumnRenamed(position, "better"), [*group, "better"], "left_anti")
         conflicts = groups.join_null_safe(conflicts, lost.withColumnRenamed(position, "worse"), [*group, "worse"], "left_anti")
         conflicts = groups.checkpointed(conflicts)
+        forget(*before)
 
 
 def _with_merged_labels(

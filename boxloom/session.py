@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,12 +54,46 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
     Cuts the lineage and survives lost executors.  Unlike a checkpointed plan,
     the table brings fresh columns and its true size, so joins with small
-    results can be broadcast.
+    results can be broadcast.  ``forget`` deletes it when nothing reads it any more,
+    ``tables_of_a_job`` all tables of a job at its end.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    for written in _JOBS:
+        written.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_table = path
+    return out
+
+
+_JOBS: list[list[str]] = []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables of ``checkpointed``; other frames, and what was selected from a table, are left alone."""
+    for df in tables:
+        path = df.__dict__.get("written_table")
+        if path:
+            _delete(df.sparkSession, path)
+
+
+@contextmanager
+def tables_of_a_job(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end all tables that ``checkpointed`` wrote inside; write the result to its place inside, too."""
+    written: list[str] = []
+    _JOBS.append(written)
+    try:
+        yield
+    finally:
+        _JOBS.remove(written)
+        for path in written:
+            _delete(spark, path)
 
 
 def ship_packages(spark: SparkSession, *folders: str) -> None:

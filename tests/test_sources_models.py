@@ -271,3 +271,19 @@ def test_curation_plan(spark):
 
 def test_policy_keywords():
     assert S.Policy().iou == 0.7
+
+
+def test_tables_are_deleted(spark):
+    from pathlib import Path
+
+    from boxloom.session import checkpoint_dir, checkpointed, forget, tables_of_a_job
+
+    folder = Path(checkpoint_dir(spark).removeprefix("file:")) / "tables"
+    before = set(folder.glob("*")) if folder.exists() else set()
+    with tables_of_a_job(spark):
+        one, two = checkpointed(spark.range(3)), checkpointed(spark.range(4))
+        assert len(set(folder.glob("*")) - before) == 2
+        forget(one, two.select("id"), spark.range(1))
+        assert two.count() == 4
+        assert len(set(folder.glob("*")) - before) == 1
+    assert set(folder.glob("*")) - before == set()

@@ -34,19 +34,22 @@ def test_source_policy_merges_sources(spark):
     df = frame(
         spark,
         [
-            {"name": "belt", "box": [0, 0, 10, 10], "score": 0.8, "source": "fashion_model"},
-            {"name": "belt", "box": [1, 1, 9, 9], "score": 0.9, "source": "locate_anything"},
+            {"name": "scarf", "box": [12, 40, 92, 100], "score": 0.95, "source": "fashion_model"},
+            {"name": "scarf", "box": [20, 44, 95, 103], "score": 0.3, "source": "locate_anything"},
+            {"name": "scarf", "box": [18, 41, 90, 99], "score": 0.6, "source": "original"},
+            {"name": "scarf", "box": [300, 40, 380, 100], "score": 0.2, "source": "fashion_model"},
         ],
     )
-    rows = S.suppress_by_policy(df, {"general": S.Policy(0.5, 0.5, "keep locate anything box")}).collect()
-    assert [(r["pos"], r["source"]) for r in rows] == [(2, "locate_anything, fashion_model")]
+    rows = S.suppress_by_policy(df, {"general": S.Policy(0.6, 0.8, "keep locate anything box")}).collect()
+    assert sorted((r["pos"], r["source"]) for r in rows) == [(2, "locate_anything, fashion_model, original"), (4, "fashion_model")]
 
 
 def test_enclosing_policy(spark):
-    policy = {"general": S.Policy(0.4, 0.7, "keep smaller_if_encloses_multiple")}
-    many = frame(spark, [{"name": "earring", "box": b} for b in ([10, 10, 50, 50], [60, 10, 100, 50], [5, 5, 105, 55])])
+    policy = {"general": S.Policy(0.45, 0.8, "keep smaller_if_encloses_multiple")}
+    shoes = [[200, 310, 260, 350], [270, 312, 331, 349], [195, 300, 340, 360]]
+    many = frame(spark, [{"name": "shoe", "box": b} for b in shoes])
     assert kept(S.suppress_by_policy(many, policy)) == [1, 2]
-    single = frame(spark, [{"name": "earring", "box": b} for b in ([15, 15, 25, 25], [10, 10, 50, 50])])
+    single = frame(spark, [{"name": "shoe", "box": b} for b in (shoes[0], shoes[2])])
     assert kept(S.suppress_by_policy(single, policy)) == [2]
 
 
@@ -54,13 +57,15 @@ def test_priority_class(spark):
     df = frame(
         spark,
         [
-            {"name": "other", "box": [0, 0, 5, 5]},
-            {"name": "jewelry_product", "box": [10, 10, 50, 50]},
-            {"name": "necklace", "box": [12, 12, 50, 50]},
-            {"name": "ring", "box": [80, 80, 90, 90]},
+            {"name": "watch", "box": [400, 20, 440, 60]},
+            {"name": "Jewelry Product", "box": [100, 200, 180, 300]},
+            {"name": "Other", "box": [600, 600, 640, 640]},
+            {"name": "anklet", "box": [110, 190, 185, 290]},
+            {"name": "jewelry_product", "box": [105, 205, 181, 299]},
+            {"name": "anklet", "box": [174, 290, 260, 380]},
         ],
     )
-    assert kept(S.clean_before_suppression(df)) == [2, 4]
+    assert kept(S.clean_before_suppression(df)) == [1, 2, 5, 6]
 
 
 def test_caps(spark):
