@@ -60,7 +60,7 @@ def test_priority_class(spark):
             {"name": "watch", "box": [400, 20, 440, 60]},
             {"name": "Jewelry Product", "box": [100, 200, 180, 300]},
             {"name": "Other", "box": [600, 600, 640, 640]},
-            {"name": "anklet", "box": [110, 190, 185, 290]},
+            {"name": "anklet", "box": [102, 202, 181, 299]},
             {"name": "jewelry_product", "box": [105, 205, 181, 299]},
             {"name": "anklet", "box": [174, 290, 260, 380]},
         ],
