@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,6 +13,7 @@ from boxloom.session import checkpointed
 
 #: Words of an anchor run.
 ANCHOR = 6
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _CHECK_BASE = np.uint64(0xA0761D6478BD642F)
 
 
@@ -53,15 +52,15 @@ def _window_rows(length: int):
                         known = shared[block.first + row].values.to_numpy(zero_copy_only=False).view(np.uint64)
                         keep[low:high] &= np.isin(own[low:high], known)
                 at = np.flatnonzero(keep)
-                first = W.window_hashes(hashes, length)[at]
+                first, rows = W.window_hashes(hashes, length)[at], block.rows[at]
+                # A run that a row holds many times travels once.
+                once = np.unique(first + rows.astype(np.uint64) * _SPREAD, return_index=True)[1]
+                at, first, rows = at[once], first[once], rows[once]
                 second = W.window_hashes(hashes, length, _CHECK_BASE)[at] >> np.uint64(32)
-                rows = block.rows[at]
                 ids = batch.column(0).take(pa.array(rows + block.first))
-                texts = np.array([zlib.crc32(block.text(row)) for row in range(block.n_rows)], dtype=np.int64)
-                places = (at - block.bounds[rows]) | (texts[rows] << 32)
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(places), pa.array(first.view(np.int64)), pa.array(second.astype(np.uint32).view(np.int32))],
-                    names=["im_id", "place", "run", "run_check"],
+                    [ids, pa.array(first.view(np.int64)), pa.array(second.astype(np.uint32).view(np.int32))],
+                    names=["im_id", "run", "run_check"],
                 )
 
     return step
@@ -73,14 +72,17 @@ def _cut(length: int):
             totals, removed, intervals, kept = [], [], [], []
             copies, found = batch.column(2), batch.column(3)
             for block in W.blocks(batch.column(1), W.BLANKS):
+                runs = None
                 for row in range(block.n_rows):
                     low, high, at = int(block.bounds[row]), int(block.bounds[row + 1]), block.first + row
                     n, gone = high - low, np.zeros(high - low + 1, dtype=np.int64)
                     if copies[at].as_py() and n >= length:
                         gone[0], gone[n] = 1, -1
                     elif found[at].is_valid:
-                        places = found[at].values.to_numpy(zero_copy_only=False)
-                        starts = (places & 0xFFFFFFFF)[(places >> 32) & 0xFFFFFFFF == zlib.crc32(block.text(row))]
+                        if runs is None:
+                            runs = W.window_hashes(W.word_hashes(block), length)
+                        own = found[at].values.to_numpy(zero_copy_only=False).view(np.uint64)
+                        starts = np.flatnonzero(np.isin(runs[low : max(low, high - length + 1)], own))
                         np.add.at(gone, starts, 1)
                         np.add.at(gone, starts + length, -1)
                     stay = np.cumsum(gone[:-1]) == 0
@@ -138,9 +140,9 @@ def without_repeats(images: DataFrame, n_words: int = 13) -> DataFrame:
     windows = in_tasks(
         marked.filter(~F.col("is_copy")).select("im_id", "im_description").join(shared, "im_id"),
         _window_rows(n_words),
-        f"im_id {kind}, place bigint, run bigint, run_check int",
+        f"im_id {kind}, run bigint, run_check int",
     )
-    repeated = held_by_smaller(windows, ["run", "run_check"]).groupBy("im_id").agg(F.collect_list("place").alias("found"))
+    repeated = held_by_smaller(windows, ["run", "run_check"]).groupBy("im_id").agg(F.collect_set("run").alias("found"))
     judged = marked.join(repeated, "im_id", "left").select("im_id", "im_description", "is_copy", "found")
     judged = judged.unionByName(
         unnamed.select("im_id", "im_description", F.lit(False).alias("is_copy"), F.lit(None).cast("array<bigint>").alias("found"))
