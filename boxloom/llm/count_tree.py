@@ -20,16 +20,31 @@ class CountTree:
     of the smaller maxima.
     """
 
-    def __init__(self, sizes: np.ndarray, counts: np.ndarray, percent: int, parts: np.ndarray | None = None):
+    def __init__(
+        self,
+        sizes: np.ndarray,
+        counts: np.ndarray,
+        percent: int,
+        parts: np.ndarray | None = None,
+        rests: np.ndarray | None = None,
+        bits: np.ndarray | None = None,
+        sides: np.ndarray | None = None,
+    ):
+        """Rows of one part, or of one side, make no pair.
+
+        ``rests`` are the shingles of a row from the shared one on, in the common order: where it is the first that two
+        rows share, they share no more than the smaller rest.  ``bits`` are parities of hash groups, as 64-bit numbers;
+        each that differs is a shingle that one row has alone.
+        """
         self.sizes, self.counts, self.percent = sizes.astype(np.int64), counts, percent
         self.full = (counts == FULL).any(axis=1)
-        self.parts = parts
+        self.parts, self.rests, self.bits, self.sides = parts, rests, bits, sides
 
     def _build(self) -> None:
         sizes, counts, parts = self.sizes, self.counts, self.parts
         spread = counts[:, int(np.argmax(counts.astype(np.float32).var(axis=0)))]
         slab = np.zeros(len(sizes), dtype=np.int64)
-        by_size = np.lexsort((sizes,) if parts is None else (sizes, parts))
+        by_size = np.lexsort([sizes, *(x for x in (parts, self.sides) if x is not None)])
         slab[by_size] = np.arange(len(sizes)) // (LEAF * FAN)
         self.order = np.lexsort((spread, slab))
         self.leaves = self._boxes(LEAF)
@@ -41,28 +56,36 @@ class CountTree:
         top = np.maximum.reduceat(self.counts[own], at).astype(np.int32)
         top[np.logical_or.reduceat(self.full[own], at)] = 1 << 24
         least, most = np.minimum.reduceat(self.sizes[own], at), np.maximum.reduceat(self.sizes[own], at)
-        if self.parts is None:
-            return top, least, most, None, None
-        return top, least, most, np.minimum.reduceat(self.parts[own], at), np.maximum.reduceat(self.parts[own], at)
+        apart = [(np.minimum.reduceat(x[own], at), np.maximum.reduceat(x[own], at)) for x in (self.parts, self.sides) if x is not None]
+        return top, least, most, apart
 
     def near(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Whether pairs of points may reach the similarity."""
         a, b, p = self.sizes[one], self.sizes[two], self.percent
         fit = 100 * np.minimum(a, b) >= p * np.maximum(a, b)
-        if self.parts is not None:
-            fit &= self.parts[one] != self.parts[two]
+        for apart in (self.parts, self.sides):
+            if apart is not None:
+                fit &= apart[one] != apart[two]
+        if self.rests is not None:
+            fit &= (100 + p) * np.minimum(self.rests[one], self.rests[two]) >= p * (a + b)
         at = np.flatnonzero(fit)
         i, j = one[at], two[at]
         bound = np.minimum(self.counts[i], self.counts[j]).sum(axis=1, dtype=np.int64)
         good = (100 + p) * bound >= p * (self.sizes[i] + self.sizes[j])
         fit[at] = good | self.full[i] | self.full[j]
+        if self.bits is not None:
+            at = np.flatnonzero(fit)
+            i, j = one[at], two[at]
+            total = self.sizes[i] + self.sizes[j]
+            alone = np.bitwise_count(self.bits[i] ^ self.bits[j]).sum(axis=1, dtype=np.int64)
+            fit[at] = (100 + p) * (total - alone) >= 2 * p * total
         return fit
 
     def _may_meet(self, boxes, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        top, least, most, low, high = boxes
+        top, least, most, apart = boxes
         p = self.percent
         fit = (100 * most[one] >= p * least[two]) & (100 * most[two] >= p * least[one])
-        if low is not None:
+        for low, high in apart:
             fit &= ~((low[one] == high[one]) & (low[two] == high[two]) & (low[one] == low[two]))
         at = np.flatnonzero(fit)
         bound = np.minimum(top[one[at]], top[two[at]]).sum(axis=1, dtype=np.int64)

@@ -7,7 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from boxloom.llm import words as W
@@ -22,6 +22,10 @@ BLOCK_REPEATS = 3
 FREQUENT_LIMIT = 100_000
 SMALL_GROUP = 32
 LEADERS = 16
+#: Rows of one shingle are searched in blocks of about this many, never more than twice as many.
+BLOCK_ROWS = 16_384
+#: Hash groups whose parities bound the overlap of candidate pairs of the second pass.
+PARITY_BITS = 10
 #: Groups of the finer counts that candidate pairs are bounded by before their sets are compared.
 FINE_BITS = 9
 #: Ids of compared rows are broadcast up to this many.
@@ -59,13 +63,15 @@ def _feature_rows(n_words: int, percent: int, frequent):
     def step(batches: Batches) -> Batches:
         last = frequent.value
         for batch in batches:
-            sizes, marks, counts, fine, firsts, lengths = [], [], [], [], [], []
+            sizes, marks, counts, fine, bits, firsts, lengths = [], [], [], [], [], [], []
             for block in W.blocks(batch.column(1), W.BLANKS, lower=True):
                 for own in _shingle_sets(block, n_words):
                     n = len(own)
                     sizes.append(n)
                     marks.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if n else None)
-                    groups = np.bincount((own >> np.uint64(64 - FINE_BITS)).astype(np.int64), minlength=1 << FINE_BITS)
+                    groups = np.bincount((own >> np.uint64(64 - PARITY_BITS)).astype(np.int64), minlength=1 << PARITY_BITS)
+                    bits.append(np.packbits((groups & 1).astype(np.uint8)).tobytes())
+                    groups = groups.reshape(1 << FINE_BITS, -1).sum(axis=1)
                     fine.append(np.minimum(groups, FULL).astype(np.uint8).tobytes())
                     groups = groups.reshape(GROUPS, -1).sum(axis=1)
                     counts.append(np.minimum(groups, FULL).astype(np.uint8).tobytes())
@@ -84,9 +90,10 @@ def _feature_rows(n_words: int, percent: int, frequent):
                     pa.array(marks, pa.binary()),
                     pa.array(counts, pa.binary()),
                     pa.array(fine, pa.binary()),
+                    pa.array(bits, pa.binary()),
                     lists(flat.view(np.int64), lengths, pa.int64()),
                 ],
-                names=["im_id", "n_shingles", "mark", "counts", "fine", "firsts"],
+                names=["im_id", "n_shingles", "mark", "counts", "fine", "bits", "firsts"],
             )
 
     return step
@@ -106,17 +113,30 @@ def _set_rows(n_words: int):
     return step
 
 
+#: Columns that name a group of rows that are searched together.
+GROUP = ["shingle", "block", "other"]
+
+
+def _borders(table: pa.Table) -> np.ndarray:
+    """Where groups of sorted rows start."""
+    new = np.zeros(table.num_rows, dtype=bool)
+    new[:1] = True
+    for name in GROUP:
+        keys = table.column(name).to_numpy()
+        new[1:] |= keys[1:] != keys[:-1]
+    return np.flatnonzero(new)
+
+
 def _groups(batches: Batches):
-    """Rows sorted by shingle, in portions that hold whole shingles."""
+    """Rows sorted by group, in portions that hold whole groups."""
     rest = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
         if rest is not None:
             table = pa.concat_tables([rest, table])
-        keys = table.column("shingle").to_numpy()
-        if not len(keys):
+        if not table.num_rows:
             continue
-        cut = int(np.searchsorted(keys, keys[-1]))
+        cut = int(_borders(table)[-1])
         if cut:
             yield table.slice(0, cut).combine_chunks()
         rest = table.slice(cut)
@@ -124,59 +144,158 @@ def _groups(batches: Batches):
         yield rest.combine_chunks()
 
 
+def _matrix(column: pa.ChunkedArray, kind, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind).reshape(-1, width)
+
+
 def _candidate_rows(percent: int, linked: bool):
     """Pairs that the counts don't rule out.
 
-    In the first pass a large group with very many such pairs gives stars only and its shingle, for the second pass;
-    there, rows that are linked already make no pair.
+    In the first pass a large group with very many such pairs gives stars only and its shingle, for the second pass, and
+    so does every block of a shingle that has several, with its leaders.  In the second pass rows that are linked
+    already make no pair, and of two different blocks only rows of one with rows of the other do.
     """
 
     def step(batches: Batches) -> Batches:
         for table in _groups(batches):
-            ids, keys = table.column("im_id").combine_chunks(), table.column("shingle").to_numpy()
+            ids = table.column("im_id").combine_chunks()
+            keys, blocks, others = (table.column(c).to_numpy() for c in GROUP)
             sizes = table.column("n_shingles").to_numpy()
-            counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), dtype=np.uint8).reshape(-1, GROUPS)
-            parts = None
+            rests = sizes - table.column("place").to_numpy()
+            counts = _matrix(table.column("counts"), np.uint8, GROUPS)
+            parts = bits = None
             if linked:
                 parts = table.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
-            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+                bits = _matrix(table.column("bits"), np.uint64, (1 << PARITY_BITS) // 64)
+            starts = _borders(table)
             lengths = np.diff(np.concatenate([starts, [len(keys)]]))
-            small = (lengths <= SMALL_GROUP) & (lengths > 1)
+            alone = (lengths <= SMALL_GROUP) & (blocks[starts] == WHOLE)
+            small = alone & (lengths > 1)
 
             def out(one, two, ids=ids):
                 ends = [ids.take(pa.array(one)), ids.take(pa.array(two))]
                 return pa.RecordBatch.from_arrays([*ends, pa.nulls(len(one), pa.int64())], names=["left", "right", "dense"])
 
-            whole = CountTree(sizes, counts, percent, parts) if small.any() else None
+            whole = CountTree(sizes, counts, percent, parts, rests, bits) if small.any() else None
             if whole is not None:
                 for one, two in small_groups(starts[small], lengths[small], whole):
                     yield out(one, two)
-            for start, length in zip(starts[lengths > SMALL_GROUP], lengths[lengths > SMALL_GROUP], strict=True):
+            for start, length in zip(starts[~alone], lengths[~alone], strict=True):
                 own = slice(start, start + length)
-                tree = CountTree(sizes[own], counts[own], percent, parts[own] if linked else None)
+                sides = None
+                if linked and blocks[start] != others[start]:
+                    sides = table.column("side").to_numpy()[own]
+                tree = CountTree(sizes[own], counts[own], percent, parts[own] if linked else None, rests[own], bits[own] if linked else None, sides)
+                if linked:
+                    for one, two in tree.pairs():
+                        yield out(one + start, two + start)
+                    continue
                 held, n = [], 0
                 for one, two in tree.pairs():
-                    if linked:
-                        yield out(one + start, two + start)
-                        continue
                     held.append((one + start, two + start))
                     n += len(one)
                     if n > 4 * length:
                         break
-                if n > 4 * length:
+                split, leaders = blocks[start] != WHOLE, []
+                dense = n > 4 * length
+                if dense or split:
                     for one, two in tree.stars(LEADERS):
+                        leaders.append(int(one[0]) + start)
                         yield out(one + start, two + start)
+                if not dense:
+                    for one, two in held:
+                        yield out(one, two)
+                if dense or split:
+                    named = leaders if split and leaders else [None]
+                    heads = pa.array(named, pa.int64())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.nulls(1, ids.type), pa.nulls(1, ids.type), pa.array([int(keys[start])], pa.int64())],
+                        [ids.take(heads), pa.nulls(len(named), ids.type), pa.array([int(keys[start])] * len(named), pa.int64())],
                         names=["left", "right", "dense"],
                     )
-                else:
-                    for one, two in held:
-                        yield out(one, two)
 
     return step
 
 
+#: Block of a shingle whose rows are all in one.
+WHOLE = -1
+
+
+def _if_small(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if table.count() <= BROADCAST_IDS else table
+
+
+def in_blocks(rows: DataFrame, bins: list[str], block_rows: int) -> DataFrame:
+    """Rows of each ``shingle`` with a ``block`` of at most about twice ``block_rows`` rows, neighbouring bins together.
+
+    Bins are counted by an aggregate; running totals of the counts tell blocks apart, and a bin that is too large is
+    dealt out by a hash.
+    """
+    sizes = rows.groupBy("shingle", *bins).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("shingle").orderBy(*bins).rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
+    sizes = sizes.select(
+        "shingle", *bins, F.floor(before / block_rows).cast("bigint").alias("_band"), F.ceil(F.col("_n") / block_rows).cast("bigint").alias("_deals")
+    )
+    deal = F.pmod(F.xxhash64("im_id", "counts"), F.col("_deals"))
+    block = F.shiftleft(F.col("_band"), 31) + deal
+    return rows.join(_if_small(checkpointed(sizes)), ["shingle", *bins]).withColumn("block", block).drop("_band", "_deals")
+
+
+def first_blocks(shared: DataFrame, block_rows: int) -> tuple[DataFrame, bool]:
+    """Rows of each shingle by ``block`` (``WHOLE`` where there is only one), and whether any shingle has several."""
+    many = shared.groupBy("shingle").count().filter(F.col("count") > block_rows).select("shingle")
+    many = checkpointed(many)
+    if many.isEmpty():
+        return shared.withColumn("block", F.lit(WHOLE).cast("bigint")), False
+    many = _if_small(many)
+    few = shared.join(many, "shingle", "left_anti").withColumn("block", F.lit(WHOLE).cast("bigint"))
+    split = in_blocks(shared.join(many, "shingle", "left_semi"), ["n_shingles"], block_rows)
+    return few.unionByName(split), True
+
+
+def second_blocks(again: DataFrame, percent: int, block_rows: int) -> DataFrame:
+    """Rows of each pair of blocks that may hold a pair of rows not linked yet: ``block``, ``other`` and ``side``.
+
+    ``again`` has ``component``.  Shingles whose rows are all linked are left out; rows of a component that is large
+    within a shingle have blocks of their own, so that two blocks of it are never brought together.
+    """
+    found = again.groupBy("shingle").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_n"))
+    found = checkpointed(found.filter(F.col("_low") < F.col("_high")).select("shingle", "_n"))
+    rows = again.join(_if_small(found), "shingle")
+    none = [F.lit(WHOLE).cast("bigint").alias(c) for c in ("block", "other")]
+    few = rows.filter(F.col("_n") <= block_rows).drop("_n").select("*", *none, F.lit(0).alias("side"))
+    if found.filter(F.col("_n") > block_rows).isEmpty():
+        return few
+    rows = checkpointed(rows.filter(F.col("_n") > block_rows).drop("_n"))
+    large = rows.groupBy("shingle", "component").count().filter(F.col("count") >= block_rows // 4)
+    large = checkpointed(large.select("shingle", "component", F.xxhash64("component").alias("_part")))
+    rows = rows.join(_if_small(large), ["shingle", "component"], "left").withColumn("_part", F.coalesce("_part", F.lit(0).cast("bigint")))
+    rows = in_blocks(rows, ["_part", "n_shingles"], block_rows).drop("_part")
+    boxes = checkpointed(
+        rows.groupBy("shingle", "block").agg(
+            F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"), F.min("component").alias("low"), F.max("component").alias("high")
+        )
+    )
+    two = boxes.select("shingle", *(F.col(c).alias(f"{c}_two") for c in ("block", "least", "most", "low", "high")))
+    pairs = boxes.join(two, "shingle").filter(
+        (F.col("block") <= F.col("block_two"))
+        & (100 * F.col("most") >= percent * F.col("least_two"))
+        & (100 * F.col("most_two") >= percent * F.col("least"))
+        & ~((F.col("low") == F.col("high")) & (F.col("low_two") == F.col("high_two")) & (F.col("low") == F.col("low_two")))
+    )
+    pairs = checkpointed(pairs.select("shingle", F.col("block").alias("_one"), F.col("block_two").alias("other")))
+    sides = pairs.select("shingle", "_one", "other", F.col("_one").alias("block"), F.lit(0).alias("side"))
+    right = pairs.filter(F.col("_one") != F.col("other")).select("shingle", "_one", "other", F.col("other").alias("block"), F.lit(1).alias("side"))
+    split = rows.join(sides.unionByName(right), ["shingle", "block"]).drop("block").withColumnRenamed("_one", "block")
+    return few.unionByName(split)
+
+
+def _searched(rows: DataFrame, percent: int, linked: bool, kind: str) -> DataFrame:
+    """Candidate pairs of each group."""
+    own = ["im_id", "n_shingles", "place", "counts", *(["component", "bits", "side"] if linked else [])]
+    rows = rows.select(*own, *GROUP).repartition(*GROUP).sortWithinPartitions(*GROUP)
+    return in_tasks(rows, _candidate_rows(percent, linked), f"left {kind}, right {kind}, dense bigint")
+
+
 def _bounded_pairs(percent: int):
     """Pairs that the finer counts don't rule out."""
 
@@ -212,7 +331,7 @@ def _verified(pairs: DataFrame, points: DataFrame, texts: DataFrame, kind: str,
     return checkpointed(pairs.join(one, "left").join(two, "right").filter(fits).select("left", "right").distinct())
 
 
-def near_copy_groups(images: DataFrame, n_words: int = 5, percent: int = 80) -> DataFrame:
+def near_copy_groups(images: DataFrame, n_words: int = 5, percent: int = 80, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Descriptions joined into groups by the Jaccard similarity of their word shingles.
 
     ``images`` are image rows with ``im_id`` (of any ordered type) and ``im_description``.  A-Z are lower-cased, words
@@ -223,7 +342,9 @@ def near_copy_groups(images: DataFrame, n_words: int = 5, percent: int = 80) ->
     point.  Rows that share one of their first shingles (in an order of all shingles, frequent ones last; similar sets must
     share one) are searched through an R-tree over the points, where the sum of the smaller counts bounds the overlap.
     Pairs left are compared by their sets.  Groups of rows that are nearly all alike are linked through a few leaders,
-    and pairs not linked by then are compared in a second pass, so no link between groups is lost.
+    and pairs not linked by then are compared in a second pass, so no link between groups is lost.  A shingle of more than
+    ``block_rows`` rows is searched in blocks of neighbouring set sizes, in the second pass block against block; the
+    leaders of its blocks are compared with each other first.
 
     One row per input row: ``im_id``, ``n_shingles``, ``component`` (least id reached by links, its own included).
     NULL and empty texts have no shingle and link with nothing; rows with a NULL id have a NULL component and link
@@ -240,28 +361,37 @@ def near_copy_groups(images: DataFrame, n_words: int = 5, percent: int = 80) ->
     frequent = np.array(sorted(r[0] for r in counted.filter(F.col("n") >= least).select("shingle").collect()), dtype=np.int64)
     frequent = context.broadcast(np.sort(frequent.view(np.uint64)))
 
-    schema = f"im_id {kind}, n_shingles bigint, mark binary, counts binary, fine binary, firsts array<bigint>"
+    schema = f"im_id {kind}, n_shingles bigint, mark binary, counts binary, fine binary, bits binary, firsts array<bigint>"
     features = checkpointed(in_tasks(rows, _feature_rows(n_words, percent, frequent), schema))
     named = features.filter(F.col("im_id").isNotNull() & F.col("mark").isNotNull())
     classes = checkpointed(named.groupBy("mark").agg(F.min("im_id").alias("first_id")))
     firsts = named.join(classes, "mark").filter(F.col("im_id") == F.col("first_id"))
 
-    keys = firsts.select("im_id", F.explode("firsts").alias("shingle"))
-    # Equal ids with several texts give several points.
+    keys = firsts.select("im_id", "n_shingles", F.posexplode("firsts").alias("place", "shingle"))
+    # Equal ids with several texts give several points; those of one size are each taken at all places of that size.
     points = firsts.select("im_id", "n_shingles", "mark", "counts").distinct().drop("mark")
     fine = firsts.select("im_id", "n_shingles", "fine")
-    shared = checkpointed(held_by_several(keys, ["shingle"]).distinct().join(points, "im_id"))
-    found = f"left {kind}, right {kind}, dense bigint"
-    by_shingle = shared.select("im_id", "shingle", "n_shingles", "counts").repartition("shingle").sortWithinPartitions("shingle")
-    candidates = checkpointed(in_tasks(by_shingle, _candidate_rows(percent, False), found))
-    links = _verified(candidates.filter(F.col("left").isNotNull()), fine, rows, kind, n_words, percent)
+    shared = checkpointed(held_by_several(keys, ["shingle"]).distinct().join(points, ["im_id", "n_shingles"]))
+    blocked, split = first_blocks(shared, block_rows)
+    candidates = checkpointed(_searched(blocked.withColumn("other", F.col("block")), percent, False, kind))
+    linkable = candidates.filter(F.col("right").isNotNull())
+    dense = checkpointed(candidates.filter(F.col("dense").isNotNull()).select(F.col("dense").alias("shingle")).distinct())
+    leaders = candidates.filter(F.col("dense").isNotNull() & F.col("left").isNotNull())
+    while split:
+        heads = shared.join(leaders.select(F.col("left").alias("im_id"), F.col("dense").alias("shingle")).distinct(), ["im_id", "shingle"], "left_semi")
+        blocked, split = first_blocks(checkpointed(heads), block_rows)
+        candidates = checkpointed(_searched(blocked.withColumn("other", F.col("block")), percent, False, kind))
+        linkable = linkable.unionByName(candidates.filter(F.col("right").isNotNull()))
+        leaders = candidates.filter(F.col("dense").isNotNull() & F.col("left").isNotNull())
+    links = _verified(linkable, fine, rows, kind, n_words, percent)
     groups = components(links)
 
-    dense = candidates.filter(F.col("dense").isNotNull()).select(F.col("dense").alias("shingle")).distinct()
-    again = shared.join(dense, "shingle").join(groups, "im_id", "left")
-    again = again.select("im_id", "shingle", "n_shingles", "counts", F.coalesce("component", "im_id").alias("component"))
-    again = again.repartition("shingle").sortWithinPartitions("shingle")
-    more = _verified(in_tasks(again, _candidate_rows(percent, True), found), fine, rows, kind, n_words, percent)
+    again = shared.join(_if_small(dense), "shingle").join(groups, "im_id", "left")
+    again = again.withColumn("component", F.coalesce("component", "im_id"))
+    bits = firsts.select("im_id", "n_shingles", "mark", "counts", "bits").distinct().drop("mark")
+    again = second_blocks(again, percent, block_rows).join(bits, ["im_id", "n_shingles", "counts"])
+    again = _searched(again, percent, True, kind)
+    more = _verified(again, fine, rows, kind, n_words, percent)
     if not more.isEmpty():
         groups = components(reduce(DataFrame.unionByName, [links, more]))
 

@@ -4,7 +4,7 @@ import pytest
 from tests.llm import plain
 
 from boxloom.llm.decontamination import held_out_hits
-from boxloom.llm.near_copies import near_copy_groups
+from boxloom.llm.near_copies import first_blocks, near_copy_groups, second_blocks
 from boxloom.llm.substrings import without_repeats
 
 
@@ -70,6 +70,54 @@ def test_groups_of_many_near_copies(image_rows):
     assert by_text(map(tuple, got)) == by_text(plain.groups(rows))
 
 
+@pytest.mark.parametrize("block_rows", [8, 40])
+def test_groups_in_blocks(image_rows, block_rows):
+    """Shingles of more rows than a block: near copies, and texts that share most of a template but do not link."""
+    chance = random.Random(8)
+    words = [f"w{n}" for n in range(500)]
+    rows = []
+    for family in range(2):
+        origin = [chance.choice(words) for _ in range(120)]
+        for _ in range(120):
+            copy = list(origin)
+            for _ in range(chance.randrange(6)):
+                copy[chance.randrange(len(copy))] = f"n{chance.randrange(10**6)}"
+            rows.append((len(rows), " ".join(copy[: chance.randrange(110, 121)])))
+    template = " ".join(f"s{n}" for n in range(110))
+    rows += [(5000 + n, template + " " + " ".join(chance.choice(words) for _ in range(30))) for n in range(100)]
+    got = near_copy_groups(image_rows(rows), block_rows=block_rows).select("im_id", "n_shingles", "component").collect()
+    assert by_text(map(tuple, got)) == by_text(plain.groups(rows))
+
+
+def test_blocks_of_one_shingle(spark):
+    """No task is given more than a few blocks of a shingle that all rows share, and all pairs not linked stay together."""
+    from pyspark.sql import functions as F
+
+    shared = spark.range(1000).select(
+        F.col("id").alias("im_id"),
+        F.lit(7).cast("bigint").alias("shingle"),
+        (100 + F.col("id") % 3).alias("n_shingles"),
+        F.lit(0).alias("place"),
+        F.col("id").cast("string").cast("binary").alias("counts"),
+        F.when(F.col("id") < 700, 0).otherwise(F.col("id")).alias("component"),
+    )
+    blocks, split = first_blocks(shared, 50)
+    sizes = [r["count"] for r in blocks.groupBy("block").count().collect()]
+    assert split and sum(sizes) == 1000 and max(sizes) <= 100
+    rows = second_blocks(shared, 80, 50).collect()
+    groups = {}
+    for r in rows:
+        groups.setdefault((r.block, r.other), []).append(r)
+    assert max(map(len, groups.values())) <= 200
+    met = set()
+    for (block, other), own in groups.items():
+        for a in own:
+            met |= {(a.im_id, b.im_id) for b in own if block == other or a.side != b.side}
+    assert all((a, b) in met for a in range(1000) for b in range(max(a + 1, 700), 1000))
+    # Blocks inside the linked 700 rows are not brought together.
+    assert sum((a, b) in met for a in range(700) for b in range(a + 1, 700)) < 700 * 699 // 8
+
+
 def test_groups_without_rows(image_rows):
     assert near_copy_groups(image_rows([])).count() == 0
     assert [tuple(r) for r in near_copy_groups(image_rows([(1, None), (2, "")])).orderBy("im_id").collect()] == [(1, 0, 1), (2, 0, 2)]
