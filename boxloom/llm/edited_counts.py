@@ -19,7 +19,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 
 class Counter:
-    """Tokens of runs; a run is white space and the word after it, which no pre-token crosses."""
+    """Tokens of runs; a run is white space and what follows up to the next white space, which no pre-token crosses."""
 
     def __init__(self, ranks: bytes):
         import tiktoken
@@ -37,9 +37,22 @@ class Counter:
         return n
 
 
+def _wide_blanks(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether the character before each end is white space of the pattern (Unicode White_Space) beyond ASCII."""
+    a, b, c = (data[np.maximum(ends - n, 0)] for n in (1, 2, 3))
+    two = (b == 0xC2) & ((a == 0x85) | (a == 0xA0))
+    general = (b == 0x80) & ((a <= 0x8A) | (a == 0xA8) | (a == 0xA9) | (a == 0xAF)) | (b == 0x81) & (a == 0x9F)
+    ogham, ideographic = (c == 0xE1) & (b == 0x9A) & (a == 0x80), (c == 0xE3) & (b == 0x80) & (a == 0x80)
+    return two | (c == 0xE2) & general | ogham | ideographic
+
+
 def run_bounds(block: W.Block) -> np.ndarray:
-    """Byte bounds of all runs of the block: each but a row's first starts where the word before it ends."""
-    return np.unique(np.concatenate([block.offsets, block.ends]))
+    """Byte bounds of all runs of the block: each but a row's first starts where a word ends that no white space ends.
+
+    Words are cut at ASCII blanks; where one ends with other white space, a pre-token may go on over the blank.
+    """
+    ends = block.ends[~_wide_blanks(block.data, block.ends)]
+    return np.unique(np.concatenate([block.offsets, ends]))
 
 
 def run_counts(block: W.Block, bounds: np.ndarray, counter: Counter) -> np.ndarray:
@@ -198,7 +211,7 @@ def token_trees(images: DataFrame, ranks_path: str) -> DataFrame:
     """A segment tree of token counts for each image description.
 
     ``images`` has ``im_id`` and ``im_description``; ``ranks_path`` is a rank file of byte-level BPE.  A leaf holds some pre-token
-    runs (white space and the word after it).  Node i of a tree has the children 2i and 2i + 1; node 1 is the whole.
+    runs (white space and what follows up to the next).  Node i of a tree has the children 2i and 2i + 1; node 1 is the whole.
 
     One row per input row: ``im_id``, ``im_description``, ``token_tree`` (sums of tokens), ``length_tree`` (sums of code
     points), ``n_runs``.  NULL and empty texts have a tree of zeros.

@@ -170,6 +170,37 @@ def test_edited_counts(spark, image_rows, odd_rows):
     assert edited_trees(token_trees(image_rows([]), path), table, path).count() == 0
 
 
+WIDE = [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+
+
+def test_token_counts_beside_wide_blanks(spark, image_rows):
+    """Pre-tokens cross ASCII blanks beside other white space."""
+    import base64
+    import random
+
+    import tiktoken
+
+    path = tokenizer_file("byte_bpe_50k.tiktoken")
+    with open(path, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    whole = tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    chance = random.Random(9)
+    texts = ["x \u00a0 \u00a0 y"]
+    texts += [f"x{c} y {c} z {c}{c} \n {c}w" for c in map(chr, WIDE)]
+    pieces = [" ", " ", "\n", "\u00a0", "\u3000", "\x85", "\u2009", "a", "word", "\u4e2d", "\u0120", "\U0001f600", "\x1c", "\u200b", "7", "'s", "!"]
+    texts += ["".join(chance.choice(pieces) for _ in range(chance.randrange(1, 300))) for _ in range(300)]
+    edits, want = [], {}
+    for i, text in enumerate(texts):
+        at = chance.randrange(len(text))
+        new = chance.choice([" \u00a0", "\u3000 ", "b", ""])
+        edits.append((i, at, min(at + 2, len(text)), new))
+        after = text[:at] + new + text[at + 2 :]
+        want[i] = (after, len(whole.encode_ordinary(text)), len(whole.encode_ordinary(after)))
+    table = spark.createDataFrame(edits, "im_id bigint, start int, end int, replacement string")
+    rows = edited_trees(token_trees(image_rows(list(enumerate(texts))), path), table, path).collect()
+    assert {r.im_id: (r.im_description, r.n_tokens_before, r.n_tokens) for r in rows} == want
+
+
 def test_few_runs_are_counted_again(spark, image_rows):
     path = tokenizer_file("byte_bpe_50k.tiktoken")
     edits = spark.createDataFrame([(1, 50_000, 50_003, "new")], "im_id bigint, start int, end int, replacement string")
