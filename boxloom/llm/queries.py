@@ -27,16 +27,24 @@ def substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("op2_token_counts")
-def token_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Each text gets five code points replaced at a third of it and a line added at its end."""
-    rows = images(table(spark, sf, "documents"))
-    length, place = F.length("im_description"), F.floor(F.length("im_description") / 3).cast("int")
+def edited_texts(rows: DataFrame, ranks: str) -> DataFrame:
+    """Each text gets five code points replaced at a third of it and a line added at its end.
+
+    The edits of a row depend on its length alone, so rows are named by id and length and distinct names are edited.
+    """
+    length = F.length("im_description")
+    rows = rows.select(F.struct(F.col("im_id").alias("id"), F.coalesce(length, F.lit(0)).alias("length")).alias("im_id"), "im_description")
+    length, place = F.col("im_id.length"), F.floor(F.col("im_id.length") / 3).cast("int")
     inner = F.struct(place.alias("start"), F.least(place + 5, length).alias("end"), F.lit(" edited ").alias("replacement"))
     added = F.struct(length.alias("start"), length.alias("end"), F.lit("\nLine 1 added.").alias("replacement"))
-    edits = rows.filter(length > 0).select("im_id", F.explode(F.array(inner, added)).alias("edit")).select("im_id", "edit.*")
-    ranks = tokenizer_file("byte_bpe_50k.tiktoken")
-    counted = edited_trees(token_trees(rows, ranks), edits, ranks)
+    names = rows.select("im_id").filter(length > 0).distinct()
+    edits = names.select("im_id", F.explode(F.array(inner, added)).alias("edit")).select("im_id", "edit.*")
+    return edited_trees(token_trees(rows, ranks), edits, ranks).withColumn("im_id", F.col("im_id.id"))
+
+
+@query("op2_token_counts")
+def token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    counted = edited_texts(images(table(spark, sf, "documents")), tokenizer_file("byte_bpe_50k.tiktoken"))
     return counted.select(
         F.col("im_id").alias("doc_id"), "n_tokens_before", "n_tokens", "n_runs", "n_recounted", sha256_hex(F.coalesce("im_description", F.lit(""))).alias("edited_sha256")
     )

@@ -6,6 +6,7 @@ from tests.llm import plain
 
 from boxloom.llm.edited_counts import PATTERN, edited_trees, token_trees
 from boxloom.llm.quality import quality_scores
+from boxloom.llm.queries import edited_texts
 from boxloom.llm.registry import tokenizer_file
 from boxloom.llm.tokens import token_ids
 from boxloom.llm.top_search import best_matches
@@ -201,6 +202,18 @@ def test_token_counts_beside_wide_blanks(spark, image_rows):
     assert {r.im_id: (r.im_description, r.n_tokens_before, r.n_tokens) for r in rows} == want
 
 
+def test_repeated_rows_are_edited_once(image_rows):
+    """Rows of one id, equal or not, each get their own edits."""
+    texts = [(1, "one two three four"), (1, "one two three four"), (1, "another text of this id"), (2, "word"), (None, "no id at all"), (None, "no id at all"), (3, ""), (4, None)]
+
+    def edited(text):
+        n = len(text or "")
+        return text[: n // 3] + " edited " + text[min(n // 3 + 5, n) :] + "\nLine 1 added." if n else text
+
+    rows = edited_texts(image_rows(texts), tokenizer_file("byte_bpe_50k.tiktoken")).collect()
+    assert sorted((r.im_id or 0, r.im_description or "") for r in rows) == sorted((i or 0, edited(t) or "") for i, t in texts)
+
+
 def test_few_runs_are_counted_again(spark, image_rows):
     path = tokenizer_file("byte_bpe_50k.tiktoken")
     edits = spark.createDataFrame([(1, 50_000, 50_003, "new")], "im_id bigint, start int, end int, replacement string")
