@@ -11,6 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,9 @@ class Chunk:
 
 
 def _chunks(batches: Batches, n_buckets: int, size: int) -> Iterator[Chunk]:
-    held, held_bytes = [], 0
+    held, held_bytes, number = [], 0, 0
+    task = TaskContext.get()
+    part = task.partitionId() if task else 0
     for batch in batches:
         for block in W.blocks(batch.column(1), W.BLANKS, size=size):
             ids = batch.column(0).slice(block.first, block.n_rows)
@@ -51,13 +54,14 @@ def _chunks(batches: Batches, n_buckets: int, size: int) -> Iterator[Chunk]:
             held.append((ids, np.diff(block.bounds), own))
             held_bytes += len(block.data)
             if held_bytes >= size:
-                yield _chunk(held, n_buckets)
-                held, held_bytes = [], 0
+                yield _chunk(held, n_buckets, f"{part} {number}")
+                held, held_bytes, number = [], 0, number + 1
     if held:
-        yield _chunk(held, n_buckets)
+        yield _chunk(held, n_buckets, f"{part} {number}")
 
 
-def _chunk(held: list, n_buckets: int) -> Chunk:
+def _chunk(held: list, n_buckets: int, place_of_chunk: str) -> Chunk:
+    """The key holds the partition and the number in it: chunks of the same words stay groups of their own."""
     coded = pa.chunked_array([words for _, _, words in held], pa.string()).combine_chunks().dictionary_encode()
     words, places = coded.dictionary, coded.indices.to_numpy()
     offsets = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
@@ -72,6 +76,7 @@ def _chunk(held: list, n_buckets: int) -> Chunk:
     ids = pa.chunked_array([ids for ids, _, _ in held]).combine_chunks()
     mark = hashlib.blake2b(data.tobytes(), digest_size=8)
     mark.update(offsets.tobytes())
+    mark.update(place_of_chunk.encode())
     key = int.from_bytes(mark.digest(), "little", signed=True)
     return Chunk(key, ids, np.concatenate([n for _, n, _ in held]), place[places], words, buckets[order])
 

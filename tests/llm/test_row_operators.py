@@ -221,6 +221,22 @@ def test_few_runs_are_counted_again(spark, image_rows):
     assert row.n_runs > 39_000 and row.n_recounted < 200
 
 
+def test_chunks_of_copies_have_their_own_keys(image_rows):
+    """Chunks of one text repeated are not joined in one call."""
+    import pyarrow as pa
+
+    from boxloom.llm.tokens import _place_rows, _word_rows
+
+    text = "the same few words again"
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(100)), pa.array([text] * 100)], names=["im_id", "im_description"])] * 2
+    keys = [k for b in _place_rows(8, 500)(iter(batches)) for k in b.column("chunk").to_pylist()]
+    assert len(keys) > 3 and len(set(keys)) == len(keys)
+    assert set(keys) == {k for b in _word_rows(8, 500)(iter(batches)) for k in b.column("chunk").to_pylist()}
+    got = token_ids(image_rows([(n, text) for n in range(60)]), tokenizer_file("word_bpe_49k.json"), chunk_bytes=500)
+    want = token_ids(image_rows([(0, text)]), tokenizer_file("word_bpe_49k.json")).first()
+    assert want.n_tokens and sorted(map(tuple, got.collect())) == [(n, *want[1:]) for n in range(60)]
+
+
 def test_token_ids(image_rows, odd_rows):
     import struct
 
