@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from boxloom.llm import words as W
 from boxloom.llm.frames import Batches, described, in_tasks
+from boxloom.llm.sampled import one_of_each
 from boxloom.session import checkpointed
 
 # The base patterns, the least length of a match, and what a text must hold to be looked at.
@@ -291,10 +292,10 @@ def _lesson_rows(per_row: int):
 
 
 def learned_tagger(images: DataFrame, most_rows: int = 8000) -> Tagger:
-    """Tagger learned from the base spans of at most ``most_rows`` rows, those first by a hash of their id."""
+    """Tagger learned from the base spans of at most ``most_rows`` rows, one of each id, those first by a hash of their id."""
     ids = images.select("im_id").dropna().distinct()
     ids = checkpointed(ids.orderBy(F.xxhash64(F.col("im_id").cast("string"), F.lit(29)), "im_id").limit(most_rows))
-    rows = described(images).join(F.broadcast(ids), "im_id", "left_semi")
+    rows = one_of_each(described(images).join(F.broadcast(ids), "im_id", "left_semi"), "im_id").select("im_id", "im_description")
     lessons = in_tasks(rows, _lesson_rows(4), "features array<int>, tags array<int>").toPandas()
     if lessons.empty:
         return Tagger()

@@ -221,6 +221,17 @@ def test_few_runs_are_counted_again(spark, image_rows):
     assert row.n_runs > 39_000 and row.n_recounted < 200
 
 
+def test_samples_hold_one_row_of_an_id(spark, image_rows):
+    """An id that many rows repeat does not go beyond the bound."""
+    from boxloom.llm.sampled import judged_sample
+
+    rows = image_rows([(1, f"text {n}") for n in range(50)] + [(2, None), (2, None), (3, "own"), (None, "x")])
+    judged = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (3, 0), (4, 1)], "im_id bigint, quality int")
+    got = [tuple(r) for r in judged_sample(rows, judged, "quality", 100).select("im_id", "mark", "im_description").collect()]
+    assert sorted(r[:2] for r in got) == [(1, 0), (1, 1), (2, 1), (3, 0)]
+    assert {(2, 1, None), (3, 0, "own")} <= set(got) and len({r[2] for r in got if r[0] == 1}) == 1
+
+
 def test_chunks_of_copies_have_their_own_keys(image_rows):
     """Chunks of one text repeated are not joined in one call."""
     import pyarrow as pa
