@@ -185,3 +185,33 @@ def ordered_rank(
     placed = placed.withColumn("_bucket", F.col("_skip") + F.size(fine))
     return _rank_in_buckets(placed.drop("_borders", "_coarse", "_skip"), keys, "_bucket", [F.col(order)], rank)
 
+
+# Rows of one key that one task may sort to number them.
+SORT_LIMIT = 1 << 17
+
+
+def placed(df: DataFrame, keys: list[str], order: list[Column], place: str = "place", limit: int = SORT_LIMIT) -> DataFrame:
+    """1-based place of every row of its key in ``order``, exact at any size of a key; equal rows in any order.
+
+    Keys of more than ``limit`` rows are sorted in ranges: all rows of a range are numbered in its task, and the
+    totals of the ranges before, one row per key and range, give the offset.  Without keys, the whole table is one group.
+    """
+    if keys:
+        small, large = split_by_size(df, keys, limit)
+        if large is None:
+            return small.withColumn(place, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long"))
+        small = small.withColumn(place, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long"))
+        return small.unionByName(_placed_in_ranges(large, keys, order, place))
+    return _placed_in_ranges(df, keys, order, place)
+
+
+def _placed_in_ranges(df: DataFrame, keys: list[str], order: list[Column], place: str) -> DataFrame:
+    by = [*[F.col(k) for k in keys], *order]
+    # Written once: the number of a row names its task and its place there.
+    rows = checkpointed(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_row", F.monotonically_increasing_id()))
+    rows = rows.withColumn("_range", F.shiftright("_row", 33))
+    ranges = rows.groupBy(*keys, "_range").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    before = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    ranges = ranges.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    at = join_null_safe(rows, ranges.drop("_rows"), [*keys, "_range"])
+    return at.withColumn(place, F.col("_before") + F.col("_row") - F.col("_first") + 1).select(*df.columns, place)

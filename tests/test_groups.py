@@ -82,3 +82,18 @@ def test_images_without_boxes_are_null(spark):
     boxes = spark.createDataFrame([(1, 1, "ring", 0.5, 1.5, 2.5, 3.5)], "im_id int, pos long, name string, x1 double, y1 double, x2 double, y2 double")
     rows = {r["im_id"]: (r["concepts"], r["boxes"]) for r in annotated_rows(images, boxes).collect()}
     assert rows == {1: ("ring", "[0,2,2,4]"), 2: (None, None)}
+
+
+@pytest.mark.parametrize("limit", [10, 100_000])
+def test_placed(spark, limit):
+    df = skewed(spark).withColumn("v", F.col("v") % 40)
+    out = groups.placed(df, ["k"], [F.col("v"), F.col("id").desc()], limit=limit)
+    assert out.columns == [*df.columns, "place"]
+    assert {r["id"]: r["place"] for r in out.collect()} == expected_ranks(df, lambda r: (r["v"], -r["id"]))
+
+
+def test_placed_without_keys(spark):
+    df = skewed(spark, 500)
+    out = groups.placed(df.repartition(7), [], [F.col("id")])
+    assert sorted((r["id"], r["place"]) for r in out.collect()) == [(i, i + 1) for i in range(500)]
+    assert groups.placed(df.limit(0), [], [F.col("id")]).count() == 0
