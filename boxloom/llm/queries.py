@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boxloom.llm.conversation_trie import conversation_nodes
 from boxloom.llm.decontamination import held_out_hits
 from boxloom.llm.edited_counts import edited_trees, token_trees
 from boxloom.llm.frames import sha256_hex
@@ -17,6 +18,7 @@ from boxloom.llm.tokens import token_ids
 from boxloom.llm.top_search import best_matches
 from boxloom.llm.toxicity import toxicity_severity
 from boxloom.llm.url_filter import url_verdicts
+from boxloom.operators.groups import placed
 
 
 @query("op1_substring_dedup")
@@ -179,3 +181,60 @@ def decontamination(spark: SparkSession, sf: str) -> DataFrame:
         sha256_hex(F.array_join("found", ",")).alias("items_sha256"),
         "contaminated",
     )
+
+
+def continued_turns(turns: DataFrame) -> DataFrame:
+    """Every conversation begins with first turns of the one whose id is the next multiple of five towards zero."""
+    filled = [F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")]
+    turns = turns.filter(F.col("conv_id").isNotNull()).select("conv_id", "turn", *filled)
+    turns = placed(turns, ["conv_id"], [F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")])
+    taken = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    forks = turns.select("conv_id").distinct().select("conv_id", (F.col("conv_id") - F.col("conv_id") % 5).alias("start_id"), taken.alias("taken"))
+    heads = turns.filter((F.col("conv_id") % 5 == 0) & (F.col("place") <= 8)).withColumnRenamed("conv_id", "start_id")
+    heads = heads.join(forks, "start_id").filter(F.col("place") <= F.col("taken"))
+    columns = ["conv_id", F.col("place").alias("turn"), "role", "text"]
+    return heads.select(*columns).unionByName(turns.filter(F.col("place") > taken).select(*columns))
+
+
+@query(
+    "op11_conversation_trie",
+    """
+    WITH ranked AS (
+        SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+            row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+        FROM conversations WHERE conv_id IS NOT NULL),
+    forks AS (
+        SELECT DISTINCT c, c - c % 5 AS base, xor(4294967295, list_reduce(
+            list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+            lambda a, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0],
+                lambda r, i: xor(r >> 1, CASE WHEN r & 1 = 1 THEN 3988292384 ELSE 0 END), xor(a, b)),
+            4294967295)) % 9 AS h
+        FROM ranked),
+    rebuilt AS (
+        SELECT f.c, r.place, r.role, r.text FROM forks f JOIN ranked r ON r.c = f.base AND r.place <= f.h
+        UNION ALL
+        SELECT f.c, r.place, r.role, r.text FROM forks f JOIN ranked r ON r.c = f.c AND r.place > f.h),
+    lists AS (
+        SELECT f.c, coalesce(list({'role': r.role, 'text': r.text} ORDER BY r.place) FILTER (WHERE r.place IS NOT NULL), []) AS seq
+        FROM forks f LEFT JOIN rebuilt r ON r.c = f.c GROUP BY f.c),
+    members AS (
+        SELECT c, d, seq[:d] AS k, len(seq) = d AS ends, CASE WHEN d = 0 THEN 0 ELSE octet_length(encode(seq[d].text)) END AS bytes
+        FROM (SELECT c, seq, unnest(range(len(seq) + 1)) AS d FROM lists)),
+    named AS (SELECT *, min(c) OVER (PARTITION BY d, k) AS o FROM members),
+    nodes AS (
+        SELECT o, d, count(*) AS n, any_value(bytes) AS bytes, bool_and(ends) AS leaf,
+            sha256(coalesce(string_agg(CASE WHEN ends THEN CAST(c AS VARCHAR) END, ',' ORDER BY c), '')) AS ends
+        FROM named GROUP BY o, d),
+    sums AS (
+        SELECT a.o, a.d, sum(CASE WHEN b.leaf THEN 1 ELSE 0 END) AS leaves, sum((b.n - 1) * b.bytes) AS saved
+        FROM nodes b JOIN named a ON a.c = b.o AND a.d <= b.d GROUP BY a.o, a.d),
+    above AS (SELECT b.o, b.d, a.o AS po FROM nodes b JOIN named a ON a.c = b.o AND a.d = b.d - 1),
+    kids AS (SELECT po AS o, d - 1 AS d, count(*) AS children FROM above GROUP BY ALL)
+    SELECT n.o AS conv_id, CAST(n.d AS BIGINT) AS depth, above.po AS parent_conv_id, n.n AS n_convs, coalesce(kids.children, 0) AS n_children,
+        CAST(sums.leaves AS BIGINT) AS n_leaves, CAST(sums.saved AS BIGINT) AS saved_tokens, n.ends AS ends_sha256
+    FROM nodes n JOIN sums USING (o, d) LEFT JOIN above USING (o, d) LEFT JOIN kids USING (o, d)
+    """,
+)
+def conversation_trie(spark: SparkSession, sf: str) -> DataFrame:
+    turns = table(spark, sf, "conversations")
+    return conversation_nodes(continued_turns(turns), turns.select("conv_id"))
