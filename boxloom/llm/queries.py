@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,10 @@ from boxloom.llm.tokens import token_ids
 from boxloom.llm.top_search import best_matches
 from boxloom.llm.toxicity import toxicity_severity
 from boxloom.llm.url_filter import url_verdicts
+from boxloom.llm.warc import capture_histories, read_archives, write_archives
+from boxloom.llm.whitening import whitened
 from boxloom.operators.groups import placed
+from boxloom.session import checkpoint_dir
 
 
 @query("op1_substring_dedup")
@@ -238,3 +243,37 @@ def continued_turns(turns: DataFrame) -> DataFrame:
 def conversation_trie(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations")
     return conversation_nodes(continued_turns(turns), turns.select("conv_id"))
+
+
+@query("op12_whitening")
+def whitening(spark: SparkSession, sf: str) -> DataFrame:
+    rows = whitened(table(spark, sf, "embeddings").select(F.col("vec_id").alias("im_id"), "embedding"), n_components=16, scale=64, shift=1_000_000)
+    return rows.withColumnRenamed("im_id", "vec_id").withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
+@query(
+    "op13_warc",
+    """
+    WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages),
+    hashed AS (
+        SELECT page_id, payload_bytes, max(page_id) OVER (PARTITION BY payload) AS keeper,
+            array_to_string(list_transform(string_split(sha1(payload), ''), lambda c: lpad(bin(strpos('0123456789abcdef', c) - 1), 4, '0')), '') AS bits
+        FROM payloads)
+    SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+        array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 +
+            list_reduce(list_transform(string_split(substr(bits, CAST(5 * i + 1 AS INTEGER), 5), ''), lambda b: CAST(b AS INTEGER)), lambda a, b: 2 * a + b), 1)), '') AS payload_digest,
+        CASE WHEN page_id = keeper OR keeper IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN page_id IS DISTINCT FROM keeper THEN keeper END AS refers_to
+    FROM hashed
+    """,
+)
+def warc(spark: SparkSession, sf: str) -> DataFrame:
+    second = F.timestamp_seconds(F.lit(946_684_800) + F.pmod("page_id", F.lit(1_000_000_000)))
+    captures = table(spark, sf, "pages").select(
+        F.col("page_id").alias("im_id"), F.col("url").alias("im_url"), F.col("html").alias("content"), F.coalesce(second, F.timestamp_seconds(F.lit(0))).alias("captured")
+    )
+    folder = f"{checkpoint_dir(spark)}/archives/{uuid4().hex}"
+    write_archives(captures, folder)
+    return capture_histories(read_archives(spark, folder)).select(
+        F.col("im_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("bigint").alias("refers_to")
+    )
