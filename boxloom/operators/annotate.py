@@ -1,9 +1,8 @@
 """User-supplied models over tables, incrementally.
 
-Results live in a Parquet store keyed by separate columns.  A run anti-joins
+Results live in a ``ResultStore`` keyed by separate columns.  A run anti-joins
 its input with the store, calls the model only for what is missing, appends,
-and reads the answer back from the store.  Tasks may be retried or lost at any
-time: an append becomes visible only when its job commits.
+and reads the answer back from the store.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 from concurrent.futures import TimeoutError as CallTimeout
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,11 +20,11 @@ from boxloom.functions import codecs as C
 from boxloom.functions import geometry as G
 from boxloom.functions.text import flagged_reason
 from boxloom.operators import groups
-from boxloom.session import checkpointed
-from boxloom.sources.paths import path_exists
+from boxloom.operators.store import RUN, ResultStore
+from boxloom.session import checkpointed, forget
 
-RUN = "_run"
 ERROR = "_error"
+CALL_FAILED = "verification call failed"
 
 DETECTION = T.StructType(
     [
@@ -85,57 +84,6 @@ def run_annotator(
     return df.mapInPandas(run, schema)
 
 
-class ResultStore:
-    """Append-only Parquet table of model results with key columns."""
-
-    def __init__(self, spark: SparkSession, path: str, keys: list[str]):
-        self.spark, self.path, self.keys = spark, path, keys
-
-    def exists(self) -> bool:
-        """Whether any commit was written to its end."""
-        return path_exists(self.spark, f"{self.path}/_SUCCESS")
-
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
-
-    def latest(self) -> DataFrame:
-        """Last result per key."""
-        return groups.first_per_key(self.read(), self.keys, [RUN], last=True)
-
-    def next_run(self) -> int:
-        if not self.exists():
-            return 0
-        last = self.read().agg(F.max(RUN)).first()[0]
-        return 0 if last is None else int(last) + 1
-
-    def append(self, df: DataFrame, run: int) -> None:
-        df.withColumn(RUN, F.lit(run).cast("long")).write.mode("append").parquet(self.path)
-
-    def append_failed(self, df: DataFrame, run: int) -> None:
-        """Keys and reasons of calls that gave no result, beside the store."""
-        df.withColumn(RUN, F.lit(run).cast("long")).write.mode("append").parquet(f"{self.path}-failed")
-
-    def failed(self) -> DataFrame | None:
-        """All failed calls so far; a key may have a result by now."""
-        path = f"{self.path}-failed"
-        return self.spark.read.parquet(path) if path_exists(self.spark, f"{path}/_SUCCESS") else None
-
-    def stored(self, df: DataFrame) -> DataFrame:
-        """Stored results for the keys of ``df``."""
-        return groups.join_null_safe(self.read(), df.select(*self.keys).distinct(), self.keys, "left_semi")
-
-    def pending(self, df: DataFrame) -> DataFrame:
-        """Rows of ``df`` whose key is not stored."""
-        if not self.exists():
-            return df
-        return groups.join_null_safe(df, self.read().select(*self.keys).distinct(), self.keys, "left_anti")
-
-    def compacted_to(self, path: str) -> "ResultStore":
-        """Copy with one row per key."""
-        self.latest().write.mode("errorifexists").parquet(path)
-        return ResultStore(self.spark, path, self.keys)
-
-
 def annotated(
     df: DataFrame,
     keys: list[str],
@@ -153,27 +101,36 @@ def annotated(
     are listed by ``store.failed()`` and tried again next time.  New
     results with an empty field are not returned.
     """
-    run = store.next_run()
-    # One row per key with all its columns: the first by content, so retries agree.
-    waiting = store.pending(df)
+    spark = df.sparkSession
+    # One row per key with all its columns: the first by content, so retries agree.  Written, as all that follows reads it.
     rest = [c for c in df.columns if c not in keys]
     if rest:
-        waiting = waiting.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_r")).select(*keys, "_r.*").select(*df.columns)
+        asked = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_r")).select(*keys, "_r.*").select(*df.columns)
     else:
-        waiting = waiting.distinct()
-    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        asked = df.distinct()
+    asked = checkpointed(asked)
+    buckets = store.touched(asked)
+    waiting = checkpointed(store.pending(asked, buckets))
+    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    run = store.next_run()
     for i in range(rounds):
         part = waiting
         if rounds > 1:
             part = waiting.filter(F.pmod(F.xxhash64(*keys), F.lit(rounds)) == i)
+        if part.isEmpty():
+            continue
         # Written once: both tables come from the same calls.
         calls = checkpointed(run_annotator(part.repartition(tasks, *keys), keys, annotator, threads, timeout, errors=True))
         store.append(calls.filter(F.col(ERROR).isNull()).drop(ERROR), run)
         failed = calls.filter(F.col(ERROR).isNotNull()).select(*keys, ERROR)
         if not failed.isEmpty():
             store.append_failed(failed, run)
+        forget(calls)
+    forget(waiting)
     fields = [f.name for f in annotator.fields]
-    found = store.stored(df)
+    if not store.exists():
+        return spark.createDataFrame([], T.StructType([df.schema[k] for k in keys] + list(annotator.fields)))
+    found = store.stored(asked, buckets)
     complete = F.col(RUN) < run
     usable = F.lit(True)
     for f in fields:
@@ -297,7 +254,7 @@ def verified_boxes(
     found = answers.select(*keys, F.col("is_valid").alias("_v"), F.col("reason").alias("_r"))
     joined = groups.join_on(cropped, found, keys, "left")
     valid = F.when(asked & ~empty, F.coalesce("_v", F.lit(False))).otherwise(True)
-    reason = F.when(asked & ~empty, F.coalesce("_r", F.when(F.col("_v").isNull(), "verification call failed"))).otherwise("")
+    reason = F.when(asked & ~empty, F.coalesce("_r", F.when(F.col("_v").isNull(), CALL_FAILED))).otherwise("")
     return joined.select(
         *[c for c in df.columns if c not in ("llm_validated", "is_valid", "reason")],
         asked.alias("llm_validated"),

@@ -197,8 +197,23 @@ def presence_sample(
     and image_content_hash.  A round is one count over a narrow table; only
     that count reaches the driver.
     """
-    flagged = catalog.detail_view_flags(pool, detail_terms or [], enabled=bool(detail_terms))
-    ranked = shuffled(flagged, "im_url", seed)
+    table = ranked_content(catalog.detail_view_flags(pool, detail_terms or [], enabled=bool(detail_terms)), exclusions, seed)
+    table = groups.checkpointed(with_presence(table))
+    size = table.count()
+    start, accepted, ends = 0, 0, []
+    while accepted < target and start < size and len(ends) < max_rounds:
+        missing = target - accepted
+        end = round_end(start, size, missing, oversample)
+        window = table.filter((F.col("rank") > start) & (F.col("rank") <= end))
+        accepted += window.filter(F.col("_ok") & (F.col("first_rank") > start)).count()
+        ends.append(end)
+        start = end
+    return presence_outcome(table.filter(F.col("rank") <= start), ends, size, accepted, target)
+
+
+def ranked_content(pool: DataFrame, exclusions: DataFrame | None, seed: int) -> DataFrame:
+    """Rows in seeded order with the first ``rank`` of their content (``first_rank``) and whether it is ``excluded``."""
+    ranked = shuffled(pool, "im_url", seed)
     known = F.coalesce("image_content_hash", F.lit(""))
     firsts = ranked.filter(known != "").groupBy("image_content_hash").agg(F.min("rank").alias("first_rank"))
     if exclusions is not None:
@@ -208,22 +223,25 @@ def presence_sample(
         firsts = firsts.withColumn("excluded", F.lit(False))
     # AQE splits the join where one image content is very frequent.
     table = groups.join_on(ranked, firsts, ["image_content_hash"], "left")
-    table = table.withColumns(
-        {"first_rank": F.coalesce("first_rank", "rank"), "excluded": F.coalesce("excluded", F.lit(False))}
-    )
+    return table.withColumns({"first_rank": F.coalesce("first_rank", "rank"), "excluded": F.coalesce("excluded", F.lit(False))})
+
+
+def with_presence(table: DataFrame) -> DataFrame:
+    """Add ``_ok``: shows a person, passes the filter for detail views, is not excluded."""
     human = catalog.has_tag(F.col("tags"), catalog.HUMAN_TAG)
-    table = groups.checkpointed(table.withColumn("_ok", human & F.col("passes_detail_filter") & ~F.col("excluded")))
-    size = table.count()
-    start, accepted, ends = 0, 0, []
-    while accepted < target and start < size and len(ends) < max_rounds:
-        missing = target - accepted
-        end = start + min(size - start, max(missing, missing * oversample))
-        window = table.filter((F.col("rank") > start) & (F.col("rank") <= end))
-        accepted += window.filter(F.col("_ok") & (F.col("first_rank") > start)).count()
-        ends.append(end)
-        start = end
-    evaluated = _with_rounds(table.filter(F.col("rank") <= start), ends)
+    return table.withColumn("_ok", human & F.col("passes_detail_filter") & ~F.col("excluded"))
+
+
+def round_end(start: int, size: int, missing: int, oversample: int) -> int:
+    """Last rank of the round that begins after ``start``."""
+    return start + min(size - start, max(missing, missing * oversample))
+
+
+def presence_outcome(looked: DataFrame, ends: list[int], size: int, accepted: int, target: int) -> PresenceSample:
+    """Outcome of the rounds that end at ``ends``, over the rows that they looked at."""
+    evaluated = _with_rounds(looked, ends)
     sample = evaluated.filter("accepted").orderBy("rank").limit(target)
+    start = ends[-1] if ends else 0
     stats = {
         "pool_size": size,
         "evaluated": start,
@@ -317,31 +335,47 @@ def class_sample(
     them are one plan.  Short samples are filled from images of people without
     a relevant class.
     """
-    ranked = shuffled(pool, "im_id", seed)
-    must = catalog.contains_any(F.col("category"), must_terms or []) if must_terms else F.lit(False)
-    marked = groups.checkpointed(ranked.withColumn("_must", must))
     classes = F.coalesce(F.from_json("visible_classes", "array<string>"), F.array().cast("array<string>"))
     tagged = T.merged_tags(F.col("tags"), classes)
+    forced, loop = class_candidates(pool, target, batch_size, must_terms, exclusions, seed)
+    must_rows = forced.filter(~F.col("repeated")).withColumn("tags", tagged)
+    must_count = must_rows.count()
+    loop = groups.checkpointed(class_marks(loop, relevant))
+    used = batches_evaluated(batch_progress(loop, F.col("_good"), must_count), target) if target > 0 else 0
+    looked = loop.filter(F.col("batch") < used)
+    return class_outcome(pool.columns, must_rows, must_count, looked, target, loop.count(), used)
 
+
+def class_candidates(
+    pool: DataFrame, target: int, batch_size: int, must_terms: list[str] | None, exclusions: DataFrame | None, seed: int
+) -> tuple[DataFrame, DataFrame]:
+    """(rows of must-include categories, the first ``target`` of them; all other rows in batches), with ``repeated``."""
+    ranked = shuffled(pool, "im_id", seed)
+    must = catalog.contains_any(F.col("category"), must_terms or []) if must_terms else F.lit(False)
+    marked = groups.checkpointed(ranked.withColumn("_must", must))
     forced = marked.filter("_must").orderBy("rank").limit(target).withColumn("batch", F.lit(-1).cast("long"))
     forced = groups.checkpointed(mark_seen_content(forced, exclusions))
-    must_rows = forced.filter(~F.col("repeated")).withColumn("tags", tagged)
-    must_count = must_rows.count()
     seen = forced.select("image_content_hash").filter(F.col("image_content_hash") != "")
     if exclusions is not None:
         seen = seen.unionByName(exclusions.select("image_content_hash"))
-
     loop = marked.filter(~F.col("_must")).drop("rank")
     loop = batches(shuffled(loop, "im_id", seed), batch_size)
-    loop = mark_seen_content(loop, seen)
-    loop = loop.withColumn("tags", F.when(F.col("repeated"), catalog.REPEATED).otherwise(F.col("tags")))
-    loop = loop.withColumn("_human", catalog.has_tag(F.col("tags"), catalog.HUMAN_TAG))
-    good = F.col("_human") & catalog.has_relevant_class(F.col("visible_classes"), relevant)
-    loop = groups.checkpointed(loop.withColumn("_good", good))
-    used = batches_evaluated(batch_progress(loop, F.col("_good"), must_count), target) if target > 0 else 0
-    looked = loop.filter(F.col("batch") < used)
+    return forced, mark_seen_content(loop, seen)
 
-    positives = looked.filter("_good").withColumn("tags", tagged)
+
+def class_marks(rows: DataFrame, relevant: list[str]) -> DataFrame:
+    """Add ``_human`` and ``_good`` (a person with a relevant class); repeated content is neither."""
+    rows = rows.withColumn("tags", F.when(F.col("repeated"), catalog.REPEATED).otherwise(F.col("tags")))
+    rows = rows.withColumn("_human", catalog.has_tag(F.col("tags"), catalog.HUMAN_TAG))
+    return rows.withColumn("_good", F.col("_human") & catalog.has_relevant_class(F.col("visible_classes"), relevant))
+
+
+def class_outcome(
+    columns: list[str], must_rows: DataFrame, must_count: int, looked: DataFrame, target: int, candidates: int, used: int
+) -> ClassSample:
+    """Outcome over the rows of the batches that were looked at: must-include rows, positives, then the fallback."""
+    classes = F.coalesce(F.from_json("visible_classes", "array<string>"), F.array().cast("array<string>"))
+    positives = looked.filter("_good").withColumn("tags", T.merged_tags(F.col("tags"), classes))
     found = must_count + positives.count()
     spare = looked.filter("_human and not _good").withColumn("reject_reason", F.lit("no_visible_accessories"))
     missing = max(0, target - found)
@@ -353,8 +387,8 @@ def class_sample(
         positives.withColumn("_seq", F.col("rank") + phase),
         filler.withColumn("_seq", F.col("rank") + 2 * phase),
     ]
-    columns = [*pool.columns, "_seq"]
-    union = parts[0].select(*columns).unionByName(parts[1].select(*columns)).unionByName(parts[2].select(*columns))
+    kept = [*columns, "_seq"]
+    union = parts[0].select(*kept).unionByName(parts[1].select(*kept)).unionByName(parts[2].select(*kept))
     accepted = groups.first_per_key(union, ["im_url"], ["_seq"]).orderBy("_seq").limit(target)
     last_used = filler.agg(F.max("rank")).first()[0] if missing else None
     left_over = spare.filter(F.col("rank") > last_used) if last_used is not None else spare
@@ -362,10 +396,10 @@ def class_sample(
         looked.filter("not _human")
         .withColumn("reject_reason", F.lit("not_human_model"))
         .unionByName(left_over)
-        .select(*pool.columns, "reject_reason")
+        .select(*columns, "reject_reason")
     )
     stats = {
-        "total_candidates": loop.count(),
+        "total_candidates": candidates,
         "checked": looked.count(),
         "accepted": accepted.count(),
         "target": target,

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxloom.functions import geometry as G
 from boxloom.functions.codecs import existing_detections
-from boxloom.functions.text import run_mode
-from boxloom.operators import annotate, catalog, clusters, groups, issues, rollup
+from boxloom.functions.text import run_mode, settings_hash
+from boxloom.operators import annotate, catalog, clusters, detectors, groups, issues, rollup
 from boxloom.operators import suppression as S
+from boxloom.operators.store import ResultStore
 from boxloom.session import checkpointed
 
 
@@ -112,3 +114,99 @@ def recovered_rows(
         "top_box", F.array(*[F.col(c) for c in G.Box._fields])
     )
     return rollup.image_rows(table.withColumn("box_source", F.col("source")))
+
+
+BOXES = "array<struct<pos:bigint,name:string,x1:double,y1:double,x2:double,y2:double,score:double,source:string>>"
+
+
+@dataclass(frozen=True)
+class ProcessedCache:
+    """Final boxes per image and settings, and before them raw detections per image, model and settings."""
+
+    processed: ResultStore
+    detections: ResultStore
+
+    @staticmethod
+    def at(spark, folder: str) -> "ProcessedCache":
+        return ProcessedCache(
+            ResultStore(spark, f"{folder}/processed", ["im_id", "settings"]), ResultStore(spark, f"{folder}/detections", detectors.KEYS)
+        )
+
+
+def raw_boxes(images: DataFrame, models: list[detectors.Detector], store: ResultStore, keep_boxes: bool = False) -> DataFrame:
+    """One row per detection of every model, after the boxes that the rows already have with ``keep_boxes``."""
+    parts = [stored_boxes(images)] if keep_boxes else []
+    for number, model in enumerate(models, 1):
+        found = detectors.packed_detections(images.drop("concepts", "boxes"), model, store)
+        dets = found.select("im_id", F.posexplode("detections").alias("at", "d")).filter(F.size("d.box") >= 4)
+        corners = G.box_at(F.col("d.box"))
+        parts.append(
+            dets.select(
+                "im_id", (F.col("at") + F.lit(number << 40)).cast("long").alias("pos"), F.col("d.name").alias("name"),
+                *[v.alias(c) for c, v in zip(G.Box._fields, corners)], F.col("d.score").alias("score"), F.col("d.source").alias("source"),
+            )
+        )
+    if not parts:
+        raise ValueError("no detection model and no boxes to keep")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def processed_boxes(
+    images: DataFrame,
+    models: list[detectors.Detector],
+    cache: ProcessedCache,
+    plan: AnnotationPlan,
+    judge: annotate.RowAnnotator | None = None,
+    verdicts: ResultStore | None = None,
+    settings: dict | None = None,
+    keep_boxes: bool = False,
+) -> DataFrame:
+    """Final boxes of every image (im_id, pos, name, corners, score, source), through two caches.
+
+    An image whose final boxes are stored for these settings is neither detected, suppressed nor verified again; a new plan with the same
+    models reuses the raw detections.  Images without boxes are stored, too.  Images with a failed detection or
+    verification give what was found and are worked on again next time.
+
+    ``images``: im_id, im_url, image_w, image_h, and boxes and concepts with ``keep_boxes``.  ``settings`` names further
+    choices that results depend on, such as the judge's.
+    """
+    spark = images.sparkSession
+    named = settings_hash({"plan": asdict(plan), "models": [(m.model, m.settings_hash()) for m in models], "keep": keep_boxes, "more": settings or {}, "judged": judge is not None})
+    images = groups.first_per_key(images, ["im_id"], ["im_url"])
+    asked = checkpointed(images.withColumn("settings", F.lit(named)))
+    buckets = cache.processed.touched(asked)
+    waiting = checkpointed(cache.processed.pending(asked, buckets).drop("settings"))
+    fresh = None
+    if not waiting.isEmpty():
+        raw = checkpointed(raw_boxes(waiting, models, cache.detections, keep_boxes))
+        limit = group_limit(raw)
+        final = cleaned_boxes(raw, waiting, plan.policies, limit).drop("image_w", "image_h")
+        failed = _unanswered(waiting, models, cache.detections)
+        if judge is not None:
+            capped = checkpointed(S.cap_boxes(final, plan.per_class, plan.per_image))
+            sized = groups.join_on(capped, waiting.select("im_id", "image_w", "image_h"), ["im_id"], "left")
+            judged = checkpointed(annotate.verified_boxes(sized, judge, verdicts, plan.settings, named, plan.verify_classes))
+            failed = failed.unionByName(judged.filter(F.col("llm_validated") & (F.col("reason") == annotate.CALL_FAILED)).select("im_id")).distinct()
+            final = judged.filter("is_valid")
+        entry = F.struct(*[F.col(c) for c in ("pos", "name", *G.Box._fields, "score", "source")])
+        listed = rollup.gathered(final, ["im_id"], "pos", entry)
+        rows = groups.join_on(waiting.select("im_id"), listed, ["im_id"], "left")
+        fresh = checkpointed(rows.select("im_id", F.lit(named).alias("settings"), F.coalesce(F.col("items").cast(BOXES), F.array().cast(BOXES)).alias("final")))
+        cache.processed.append(groups.join_on(fresh, failed, ["im_id"], "left_anti"), cache.processed.next_run())
+        fresh = groups.join_on(fresh, failed, ["im_id"], "left_semi")
+    found = cache.processed.latest(buckets) if cache.processed.exists() else None
+    if found is not None:
+        found = groups.join_on(found, asked.select("im_id", "settings"), ["im_id", "settings"], "left_semi").select("im_id", "settings", "final")
+        fresh = found if fresh is None else found.unionByName(fresh)
+    if fresh is None:
+        fresh = spark.createDataFrame([], f"im_id {asked.schema['im_id'].dataType.simpleString()}, settings string, final {BOXES}")
+    return fresh.select("im_id", F.explode("final").alias("b")).select("im_id", "b.*")
+
+
+def _unanswered(images: DataFrame, models: list[detectors.Detector], store: ResultStore) -> DataFrame:
+    """Images that have no stored answer of some model, as their call failed."""
+    parts = [images.select("im_id").filter(F.lit(False))]
+    for model in models:
+        keyed = images.select("im_id", F.lit(model.model).alias("model"), F.lit(model.settings_hash()).alias("settings"))
+        parts.append(store.pending(keyed).select("im_id"))
+    return reduce(DataFrame.unionByName, parts).distinct()

@@ -70,3 +70,32 @@ def stored_image_path(root: str, key: str, flat: bool = False) -> str:
     """Content-addressed location: ``<key>`` or ``<first two>/<key>``."""
     root = root.rstrip("/")
     return f"{root}/{key}" if flat else f"{root}/{key[:2]}/{key}"
+
+
+def claimed(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it exists, also when another job creates it at the same time."""
+    fs, hadoop = _fs_path(spark, path)
+    fs.mkdirs(hadoop.getParent())
+    if fs.getScheme() == "file":
+        return spark._jvm.java.io.File(hadoop.toUri().getPath()).createNewFile()
+    try:
+        return fs.createNewFile(hadoop)
+    except Exception as error:
+        if fs.exists(hadoop):
+            return False
+        raise error
+
+
+def claimed_number(spark: SparkSession, folder: str, prefix: str, first: int = 0) -> int:
+    """Smallest number above all files ``<prefix><N>`` of the folder, claimed by a file of that name."""
+    found = [re.search(rf"/{re.escape(prefix)}(\d+)$", p) for p in listed(spark, folder)]
+    number = max([int(m.group(1)) + 1 for m in found if m], default=first)
+    number = max(number, first)
+    while not claimed(spark, f"{folder}/{prefix}{number}"):
+        number += 1
+    return number
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    fs, hadoop = _fs_path(spark, path)
+    fs.delete(hadoop, True)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxloom.sources.paths import next_version, path_exists
+from boxloom.sources.paths import claimed_number, next_version, path_exists
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -29,8 +29,12 @@ def write_splits(df: DataFrame, path: str, diagnostics: DataFrame | None = None)
 
 
 def write_version(df: DataFrame, folder: str, prefix: str) -> str:
-    """Write to the next free ``v<N>`` of a dataset folder; returns the path."""
-    version = next_version(df.sparkSession, folder)
+    """Write to the next free ``v<N>`` of a dataset folder; returns the path.
+
+    The number is claimed by a file before anything is written, so two jobs at once get two versions; a failed job's number stays unused.
+    """
+    spark = df.sparkSession
+    version = claimed_number(spark, f"{folder}/_versions", "v", next_version(spark, folder))
     path = f"{folder}/v{version}/{prefix}_v{version}_dataset"
     write_csv(df, path)
     return path
