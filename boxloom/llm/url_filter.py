@@ -35,13 +35,23 @@ def _mask(hashed: Column) -> Column:
     return mask
 
 
-def _fitting(filter_words: list[int], keys: Column) -> Column:
-    """Keys that a word of the filter has all bits of."""
+def _filter_words(listed: DataFrame, n_words: int, *key: str) -> list[int]:
+    """Words of the blocked Bloom filter of the listed keys."""
+    hashed = F.xxhash64(*key)
+    block = F.pmod(hashed, F.lit(n_words)).cast("int")
+    words = [0] * n_words
+    for row in listed.select(block.alias("block"), _mask(hashed).alias("mask")).groupBy("block").agg(F.bit_or("mask").alias("word")).collect():
+        words[row["block"]] = row["word"]
+    return words
+
+
+def _fitting(filter_words: list[int], keys: Column, *fields: str) -> Column:
+    """Keys (structs of ``fields``, or plain values) that a word of the filter has all bits of."""
     words = F.from_json(F.lit("[" + ",".join(map(str, filter_words)) + "]"), "array<bigint>")
     n = len(filter_words)
 
     def fits(key: Column) -> Column:
-        hashed = F.xxhash64(key["host"], key["path"])
+        hashed = F.xxhash64(*([key[f] for f in fields] or [key]))
         word = F.get(words, F.pmod(hashed, F.lit(n)).cast("int"))
         return word.bitwiseAND(_mask(hashed)) == _mask(hashed)
 
@@ -55,8 +65,8 @@ def url_verdicts(images: DataFrame, rules: DataFrame, default: str = "allow") ->
     A rule fits its host and all subdomains if the URL's path starts with the rule's; the longest fitting rule wins
     (host and path together; of equal ones the longer host, then ``block``).
 
-    The canonical forms of a URL (each parent domain with each start of the path as long as some rule's path) are tested with
-    a blocked Bloom filter: one 64-bit word per rule, four bits in it.  URLs without a hit get ``default`` where they
+    The canonical forms of a URL (each parent domain of as many labels as some rule's host, with each start of the path as long as some
+    rule's path) are tested with blocked Bloom filters, first the domains alone, then whole forms: one 64-bit word per rule, four bits in it.  URLs without a hit get ``default`` where they
     are; the others go to an exact hash join with the rules, once per distinct host and path.  The filter is bounded
     (1 MB): a longer list raises false hits, not errors.
 
@@ -66,24 +76,29 @@ def url_verdicts(images: DataFrame, rules: DataFrame, default: str = "allow") ->
     """
     listed = rules.select(F.translate("host", _UPPER, _LOWER).alias("host"), "path", "verdict").dropna()
     listed = listed.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
-    totals = listed.agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.length("path")).alias("lengths")).first()
+    totals = listed.agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.length("path")).alias("lengths"), F.collect_set(F.size(F.split("host", r"\.", -1))).alias("labels")).first()
     n_words = min(MOST_WORDS, max(1024, totals["n"]))
-    hashed = F.xxhash64("host", "path")
-    block = F.pmod(hashed, F.lit(n_words)).cast("int")
-    filter_words = [0] * n_words
-    for row in listed.select(block.alias("block"), _mask(hashed).alias("mask")).groupBy("block").agg(F.bit_or("mask").alias("word")).collect():
-        filter_words[row["block"]] = row["word"]
+    host_words = _filter_words(listed, n_words, "host")
+    filter_words = _filter_words(listed, n_words, "host", "path")
 
-    urls = images.select("im_id", url_host(F.col("im_url")).alias("host"), url_path(F.col("im_url")).alias("path"))
-    urls = urls.select("im_id", F.coalesce("host", F.lit("")).alias("host"), F.coalesce("path", F.lit("")).alias("path"))
-    labels = F.split("host", r"\.", -1)
     lengths = F.array(*[F.lit(n) for n in sorted(totals["lengths"])]).cast("array<int>")
-    starts = F.transform(
-        F.filter(lengths, lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n)
-    )
-    domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    keys = F.flatten(F.transform(domains, lambda host: F.transform(starts, lambda path: F.struct(host.alias("host"), path.alias("path")))))
-    tested = urls.withColumn("keys", _fitting(filter_words, keys))
+    counts = F.array(*[F.lit(n) for n in sorted(totals["labels"])]).cast("array<int>")
+
+    def keyed_url(url: Column) -> Column:
+        labels, path = url["labels"], url["path"]
+        # A host may have any number of labels; only domains of as many labels as some rule's host are built.
+        some = F.filter(counts, lambda n: n <= url["n_labels"])
+        domains = F.transform(some, lambda n: F.array_join(F.slice(labels, url["n_labels"] - n + 1, n), "."))
+        starts = F.transform(F.filter(lengths, lambda n: n <= url["length"]), lambda n: F.substring(path, F.lit(1), n))
+        known = _fitting(host_words, domains)
+        keys = F.flatten(F.transform(known, lambda host: F.transform(starts, lambda start: F.struct(host.alias("host"), start.alias("path")))))
+        return F.struct(url["host"].alias("host"), path.alias("path"), _fitting(filter_words, keys, "host", "path").alias("keys"))
+
+    host, path = F.coalesce(url_host(F.col("im_url")), F.lit("")), F.coalesce(url_path(F.col("im_url")), F.lit(""))
+    labels = F.split(host, r"\.", -1)
+    parts = F.struct(host.alias("host"), path.alias("path"), labels.alias("labels"), F.size(labels).alias("n_labels"), F.length(path).alias("length"))
+    # As an array of one, so that the parts are cut once and not again for every length.
+    tested = images.select("im_id", F.get(F.transform(F.array(parts), keyed_url), F.lit(0)).alias("url")).select("im_id", "url.*")
 
     hits = tested.filter(F.size("keys") > 0)
     distinct = hits.select("host", "path", "keys").distinct()

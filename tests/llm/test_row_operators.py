@@ -268,3 +268,18 @@ def test_token_ids(image_rows, odd_rows):
     assert token_ids(image_rows([]), path).count() == 0
     names = token_ids(image_rows([("a", "one"), (None, None)], "string"), path).select("im_id", "n_tokens").collect()
     assert sorted(map(tuple, names), key=str) == [("a", 1), (None, 0)]
+
+
+def test_very_long_hosts_are_judged_at_once(spark):
+    """A host of 1 MB in half a million labels; a rule's path of thousands of lengths."""
+    import time
+
+    urls = [(1, "http://" + "a." * 500_000 + "Example.com/en/x"), (2, "http://" + "." * 1_000_000), (3, "http://" + "a" * 1_000_000 + ".net/" + "y" * 3000)]
+    rules = [("example.com", "/en/", "block"), ("a.b.c.example.com", "/", "allow"), *[("net", "/" + "y" * n, "block") for n in range(1, 2000)]]
+    rows = spark.createDataFrame(urls, "im_id bigint, im_url string")
+    listed = spark.createDataFrame(rules, "host string, path string, verdict string")
+    url_verdicts(rows.limit(1), listed).collect()
+    begin = time.time()
+    got = {r["im_id"]: (r["rule"], r["verdict"]) for r in url_verdicts(rows, listed).select("im_id", "rule", "verdict").collect()}
+    assert got == {1: ("example.com/en/", "block"), 2: (None, "allow"), 3: ("net/" + "y" * 1999, "block")}
+    assert time.time() - begin < 30

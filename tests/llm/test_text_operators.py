@@ -35,7 +35,7 @@ def test_repeats_with_string_ids_and_no_rows(image_rows):
 def test_contamination(image_rows, odd_rows, block):
     passage = " ".join(f"passage{n}" for n in range(40))
     items = [(1, passage), (2, "Word"), (3, None), (4, ""), (5, "w1 w2"), (None, "passage1 passage2 passage3"), (7, "??"), (1, "É naïve")]
-    got = held_out_hits(image_rows(odd_rows), image_rows(items), broadcast_bytes=block).collect()
+    got = held_out_hits(image_rows(odd_rows), image_rows(items), most_windows=block).collect()
     got = [(r.im_id, r.n_words, r.n_hit, tuple(r.found), r.contaminated) for r in got]
     assert by_text(got) == by_text(plain.contamination(odd_rows, items))
 
@@ -121,3 +121,34 @@ def test_blocks_of_one_shingle(spark):
 def test_groups_without_rows(image_rows):
     assert near_copy_groups(image_rows([])).count() == 0
     assert [tuple(r) for r in near_copy_groups(image_rows([(1, None), (2, "")])).orderBy("im_id").collect()] == [(1, 0, 1), (2, 0, 2)]
+
+
+def test_least_share_is_exact(image_rows):
+    """3 hit words of 10: a share of 0.3 is reached, the next larger decimals are not; shares above a half and one count, too."""
+    rows, items = image_rows([(1, "a b c d e f g h i j"), (2, "a b c")]), image_rows([(1, "a b c")])
+    for share, expected in ((0.3, {1, 2}), (0.30000000000001, {2}), (0.29, {1, 2}), (0.7, {2}), (1, {2}), (1.5, set()), (0, {1, 2})):
+        got = held_out_hits(rows, items, least_share=share).collect()
+        assert {r["im_id"] for r in got if r["contaminated"]} == expected
+
+
+def test_many_windows_take_bounded_memory(image_rows):
+    """16 MB of held-out text: one block's windows, as the driver builds and every worker unpickles them."""
+    import pickle
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from boxloom.llm.decontamination import MOST_WINDOWS, Windows
+
+    chance = np.random.default_rng(1)
+    n = MOST_WINDOWS
+    flat = pa.py_buffer(chance.integers(0, 256, 16 * n, dtype=np.uint8).tobytes())
+    digests = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), n, [None, flat]).cast(pa.binary())
+    names = pa.array([f"item{i}" for i in range(1000)]).take(pa.array(chance.integers(0, 1000, n)))
+    rows = pa.table({"length": pa.array(np.full(n, 13, np.int32)), "hash": pa.array(chance.integers(-(2**63), 2**63 - 1, n)), "digest": digests, "item": names})
+    tracemalloc.start()
+    own = Windows(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6 and len(pickle.dumps(own)) < 150e6
