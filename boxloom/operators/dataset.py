@@ -52,6 +52,23 @@ def compacted(df: DataFrame) -> DataFrame:
     return _with_texts(staged, texts, F.col("compacted") > 0).drop("_entries")
 
 
+def first_entries(entries: Column) -> Column:
+    """First entry of every ``key``, in the order of the array.
+
+    Places are sorted by key, so a row of very many entries costs little more than sorting it.
+    """
+
+    def places(by_key: Column) -> Column:
+        firsts = F.filter(by_key, lambda x, j: (j == 0) | (F.get(by_key, j - 1)["key"] != x["key"]))
+        return F.array_sort(F.transform(firsts, lambda x: x["at"]))
+
+    def picked(whole: Column) -> Column:
+        by_key = F.array_sort(F.transform(whole, lambda x, i: F.struct(x["key"].alias("key"), i.alias("at"))))
+        return let(let(by_key, places), lambda at: F.transform(at, lambda i: F.get(whole, i)))
+
+    return let(entries, picked)
+
+
 def cleaned(df: DataFrame) -> DataFrame:
     """Compact rows, then drop placeholder and repeated boxes; every row gets a ``status``.
 
@@ -71,12 +88,7 @@ def cleaned(df: DataFrame) -> DataFrame:
     base = base.withColumn("_all", entries)
     real = F.filter("_all", lambda x: x["key"]["b"] != C.ZERO_BOX)
     base = base.withColumn("zero_boxes", F.size("_all") - F.size(real)).withColumn("_all", real)
-    # First entry of every (box, concept), in row order.
-    unique = let(
-        F.transform("_all", lambda x: x["key"]),
-        lambda keys: F.filter("_all", lambda x, i: F.array_position(keys, x["key"]) == i + 1),
-    )
-    base = base.withColumn("_kept", unique)
+    base = base.withColumn("_kept", first_entries(F.col("_all")))
     base = base.withColumn("duplicate_boxes", F.size("_all") - F.size("_kept"))
     lone = (F.size("_kept") == 1) & (F.get("_kept", F.lit(0))["key"]["c"] == "other")
     base = base.withColumn(
@@ -124,13 +136,12 @@ def violations(df: DataFrame, row_id: str = "row_id") -> DataFrame:
     raw = F.transform(F.split(F.coalesce("concepts", F.lit("")), ","), lambda c: F.trim(c))
     staged = df.select(row_id, boxes.alias("b"), numbers.alias("n"), raw.alias("raw"))
     staged = staged.withColumn("c", F.filter("raw", lambda c: c != ""))
-    # The i-th box goes with the i-th non-blank concept.
-    keys = F.transform(
-        "b",
-        lambda b, i: F.struct(
-            F.replace(b, F.lit(" "), F.lit("")).alias("b"), F.coalesce(F.get("c", i), F.lit("")).alias("c")
-        ),
-    )
+    # The i-th box goes with the i-th non-blank concept; one text each, as distinct texts are found by their hash.
+    def key(box: Column, concept: Column) -> Column:
+        plain = F.replace(box, F.lit(" "), F.lit(""))
+        return F.concat(F.length(plain).cast("string"), F.lit(":"), plain, F.coalesce(concept, F.lit("")))
+
+    keys = let(F.col("c"), lambda c: F.transform("b", lambda b, i: key(b, F.get(c, i))))
     zero = F.array(*[F.lit(0).cast("long") for _ in range(4)])
     staged = staged.withColumn("k", keys)
     rules = {

@@ -17,6 +17,7 @@ from boxloom.operators.store import RUN, ResultStore
 from boxloom.session import checkpointed, forget
 
 KEYS = ["im_id", "model", "settings"]
+WANTED = "wanted_classes"
 #: A request: image rows and the prompts of one class group; the answer is a list of detections per image.
 Request = Callable[[list[dict], list[str]], list[list[dict]]]
 
@@ -43,10 +44,15 @@ class Detector:
         parts = {"classes": self.classes, "groups": self.class_groups, "aliases": self.class_aliases, "per_prompt": self.per_prompt}
         return settings_hash({**parts, **self.settings}, 8)
 
-    def prompts(self) -> list[list[str]]:
-        """Prompts of each class group: aliases instead of their class, blanks instead of underlines."""
-        size = self.per_prompt or max(1, len(self.classes))
-        found = self.class_groups or [self.classes[i : i + size] for i in range(0, len(self.classes), size)]
+    def prompts(self, classes: list[str] | None = None) -> list[list[str]]:
+        """Prompts of each class group: aliases instead of their class, blanks instead of underlines.
+
+        ``classes`` asks for these only, in groups of ``per_prompt``.
+        """
+        asked = self.classes if classes is None else classes
+        size = self.per_prompt or max(1, len(asked))
+        groups_of = self.class_groups if classes is None else ()
+        found = groups_of or [asked[i : i + size] for i in range(0, len(asked), size)]
         named = [[name for c in group for name in (self._aliases(c) if c in self.class_aliases else [c])] for group in found]
         return [[name.replace("_", " ") for name in group] for group in named if group]
 
@@ -64,7 +70,7 @@ class Detector:
 
 
 def _asked(detector: Detector):
-    prompts, names = detector.prompts(), detector.class_names()
+    names = detector.class_names()
 
     def plain(det: dict) -> dict:
         name = det.get("name")
@@ -78,7 +84,7 @@ def _asked(detector: Detector):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         request = detector.load()
         for frame in batches:
-            rows = frame.to_dict("records")
+            rows = frame.drop(columns=[WANTED, *KEYS[1:]], errors="ignore").to_dict("records")
             found: list[list[dict]] = [[] for _ in rows]
             failed: list[str | None] = [None] * len(rows)
 
@@ -87,28 +93,30 @@ def _asked(detector: Detector):
                 for i, dets in zip(at, request([rows[i] for i in at], group)):
                     found[i].extend(plain(d) for d in dets or [])
 
-            for start in range(0, len(rows), detector.batch):
-                for group in prompts:
-                    at = [i for i in range(start, min(start + detector.batch, len(rows))) if failed[i] is None]
-                    before = [len(found[i]) for i in at]
-                    try:
-                        if at:
-                            take(at, group)
-                        continue
-                    except Exception as error:
-                        reason = f"{type(error).__name__}: {error}"[:1000]
-                    for i, n in zip(at, before):
-                        del found[i][n:]
+            def ask(at: list[int], group: list[str]) -> None:
+                before = [len(found[i]) for i in at]
+                try:
+                    return take(at, group)
+                except Exception as error:
+                    reason = f"{type(error).__name__}: {error}"[:1000]
+                for i, n in zip(at, before):
+                    del found[i][n:]
                     if len(at) == 1:
-                        failed[at[0]] = reason
-                        continue
-                    for i, n in zip(at, before):
-                        try:
-                            take([i], group)
-                        except Exception as error:
-                            del found[i][n:]
-                            failed[i] = f"{type(error).__name__}: {error}"[:1000]
-            out = frame[["im_id"]].copy()
+                        failed[i] = reason
+                    else:
+                        ask([i], group)
+
+            # Images that are asked for the same classes share requests.
+            alike: dict[tuple | None, list[int]] = {}
+            for i in range(len(rows)):
+                alike.setdefault(tuple(frame[WANTED].iloc[i]) if WANTED in frame else None, []).append(i)
+            for classes, members in alike.items():
+                for start in range(0, len(members), detector.batch):
+                    for group in detector.prompts(None if classes is None else list(classes)):
+                        at = [i for i in members[start : start + detector.batch] if failed[i] is None]
+                        if at:
+                            ask(at, group)
+            out = frame[KEYS].copy()
             out["detections"] = [None if bad else dets for dets, bad in zip(found, failed)]
             out[ERROR] = failed
             yield out
@@ -122,21 +130,28 @@ def packed_detections(images: DataFrame, detector: Detector, store: ResultStore,
     Rows of ``images`` go to the model with all their columns; an image that repeats is asked once.  Requests hold ``batch``
     images and one class group.  A request that fails is repeated image by image; an image that fails again has no
     detections, is listed by ``store.failed()`` and asked again next time.  Empty answers are stored like others.
+    A column ``wanted_classes`` (array of names) asks each image for these classes only; such answers are stored apart for each list.
     """
     spark = images.sparkSession
     rest = [c for c in images.columns if c != "im_id"]
     one = images.groupBy("im_id").agg(F.min(F.struct(*rest)).alias("_r")).select("im_id", "_r.*") if rest else images.distinct()
-    named = {"model": F.lit(detector.model), "settings": F.lit(detector.settings_hash())}
+    settings = F.lit(detector.settings_hash())
+    if WANTED in rest:
+        settings = F.concat(settings, F.lit(":"), F.md5(F.to_json(F.col(WANTED)).cast("binary")))
+    named = {"model": F.lit(detector.model), "settings": settings}
     clashing = [c for c in rest if c in named]
     if clashing:
         raise ValueError(f"columns {clashing} name the cache's keys")
     asked = checkpointed(one.withColumns(named))
     buckets = store.touched(asked)
-    waiting = checkpointed(store.pending(asked, buckets).drop(*named))
+    waiting = checkpointed(store.pending(asked, buckets))
     if not waiting.isEmpty():
-        schema = T.StructType([asked.schema["im_id"], T.StructField("detections", T.ArrayType(DETECTION)), T.StructField(ERROR, T.StringType())])
+        schema = T.StructType([*[asked.schema[k] for k in KEYS], T.StructField("detections", T.ArrayType(DETECTION)), T.StructField(ERROR, T.StringType())])
+        # Dealt by image, and inside a task in the order of the classes that are asked for.
         dealt = waiting.repartition(tasks or int(spark.conf.get("spark.sql.shuffle.partitions")), "im_id")
-        calls = checkpointed(dealt.mapInPandas(_asked(detector), schema).withColumns(named))
+        if WANTED in rest:
+            dealt = dealt.sortWithinPartitions(WANTED, "im_id")
+        calls = checkpointed(dealt.mapInPandas(_asked(detector), schema))
         run = store.next_run()
         store.append(calls.filter(F.col(ERROR).isNull()).select(*KEYS, "detections"), run)
         failed = calls.filter(F.col(ERROR).isNotNull()).select(*KEYS, ERROR)

@@ -210,3 +210,35 @@ def _unanswered(images: DataFrame, models: list[detectors.Detector], store: Resu
         keyed = images.select("im_id", F.lit(model.model).alias("model"), F.lit(model.settings_hash()).alias("settings"))
         parts.append(store.pending(keyed).select("im_id"))
     return reduce(DataFrame.unionByName, parts).distinct()
+
+
+def recovered_dataset(
+    boxes: DataFrame,
+    annotations: DataFrame,
+    relevant: list[str],
+    detector: detectors.Detector,
+    store: ResultStore,
+    cluster_iou: float = 0.5,
+    iou: float = 0.7,
+    io_min: float = 0.7,
+) -> DataFrame:
+    """Curated image rows from raw detections: what the annotator saw and the model missed is asked for again.
+
+    ``boxes``: raw detections; ``annotations``: im_id, im_url, im_name, im_description, gpt_reason and visible_classes, one row per image.
+    Detections are clustered, and a cluster stays if its class is visible or of no interest.  A visible relevant class with
+    too few boxes left (one for ``multiple``, none for ``singular``) goes to ``detector``: each image is asked for its own classes only, once, as answers
+    come from ``store``.  Boxes found again join the confirmed ones, and smaller boxes go first when they overlap.
+    """
+    summary = checkpointed(clusters.cluster_summary(clusters.overlap_clusters(boxes, cluster_iou)))
+    confirmed = checkpointed(issues.confirmed_detections(summary, annotations, relevant))
+    short = issues.classes_to_recover(confirmed, annotations, relevant)
+    wanted = short.groupBy("im_id").agg(F.sort_array(F.collect_set("class_name")).alias(detectors.WANTED))
+    requests = groups.join_on(annotations.select("im_id", "im_url"), wanted, ["im_id"])
+    again = raw_boxes(requests, [detector], store)
+    corners = G.box_at(F.col("top_box").cast("array<double>"))
+    sure = confirmed.select(
+        "im_id", F.col("cluster_id").cast("long").alias("pos"), F.col("top_class").alias("name"),
+        *[v.alias(c) for c, v in zip(G.Box._fields, corners)], F.col("top_score").alias("score"), F.lit("model").alias("source"),
+    )
+    meta = annotations.select("im_id", "im_url", "im_name", "im_description", "gpt_reason")
+    return recovered_rows(sure, again, meta, iou, io_min)

@@ -171,3 +171,22 @@ def test_recall_keeps_repeated_mentions(spark):
     none = spark.createDataFrame([], "im_id string, cluster_id int, cluster_size int, top_class string, top_score double, second_score double, margin double, uncertainty double, top_box array<int>")
     out = issues.missed_classes(none, marks, ["ring"]).collect()
     assert [(r["top_class"], r["issue_type"]) for r in out] == [("ring", "recall"), ("ring", "recall")]
+
+
+def test_rows_of_very_many_boxes(spark):
+    """100,000 entries, each twice: cleaning and checking cost about as much as sorting them, and give what short rows give."""
+    import time
+
+    def row(n):
+        boxes = ",".join(f"[{i % (n // 2)},1,{i % (n // 2) + 5},9]" for i in range(n))
+        return spark.createDataFrame([(1, "u", boxes, ",".join(["ring"] * n))], "row_id long, im_url string, boxes string, concepts string")
+
+    D.cleaned(row(4)).collect()
+    D.violations(row(4)).collect()
+    begin = time.time()
+    for n in (6, 100_000):
+        out = D.cleaned(row(n)).first()
+        assert (out["duplicate_boxes"], out["status"]) == (n // 2, "kept")
+        assert out["boxes"] == ",".join(f"[{i},1,{i + 5},9]" for i in range(n // 2))
+        assert [(r["rule"], r["count"]) for r in D.violations(row(n)).collect()] == [("duplicate_box", n // 2)]
+    assert time.time() - begin < 60

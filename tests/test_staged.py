@@ -247,3 +247,17 @@ def test_processed_images_make_no_call(spark, folder, tmp_path):
     # Another plan verifies again from the stored detections.
     assert run(plan=AnnotationPlan(per_class=3)) == [(1, "ring"), (3, "ring"), (5, "ring")]
     assert [c for c in calls(folder) if "|" in c] == [c for c in later if "|" in c]
+
+
+def test_images_are_asked_for_their_own_classes(spark, folder, tmp_path):
+    store = ResultStore(spark, str(tmp_path / "s"), KEYS)
+    rows = spark.createDataFrame([(1, ["ring"]), (2, ["belt", "ring"]), (3, ["ring"]), (4, [])], "im_id long, wanted_classes array<string>")
+    model = Detector("m", prompted(folder), ("ring", "belt"), batch=4)
+    got = {r["im_id"]: [d["name"] for d in r["detections"]] for r in packed_detections(rows, model, store, tasks=1).collect()}
+    assert got == {1: ["ring"], 2: [], 3: ["ring"], 4: []}
+    assert calls(folder) == ["1,3|ring", "2|belt,ring"]
+    packed_detections(rows, model, store).collect()
+    assert len(calls(folder)) == 2
+    # Another list of classes is another answer.
+    packed_detections(rows.filter("im_id = 1").withColumn("wanted_classes", F.array(F.lit("belt"))), model, store).collect()
+    assert calls(folder)[-1] == "2|belt,ring" and len(calls(folder)) == 3
