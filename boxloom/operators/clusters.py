@@ -12,6 +12,7 @@ nodes are kept, and labels spread over that small graph by joins.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from boxloom.functions import geometry as G
 from boxloom.functions.codecs import let
 from boxloom.operators import groups
-from boxloom.operators.overlap import gridded
+from boxloom.operators.overlap import CELL, gridded, split_cells
 
 
 def exploded_detections(df: DataFrame, detections: str = "detections") -> DataFrame:
@@ -152,15 +153,16 @@ def _graph_clusters(df: DataFrame, iou: float, image: str, pos: str) -> DataFram
     placed = groups.checkpointed(groups.join_null_safe(quantised, nodes, cell_keys).drop(*cell_keys[1:]))
     # Identical boxes of a node find the same neighbours; one of them is enough.
     distinct_boxes = placed.select(image, "node", *G.Box._fields).distinct()
-    cells = gridded(groups.checkpointed(distinct_boxes), [image])
-    a, b = cells.alias("a"), cells.alias("b")
+    one, two = split_cells(groups.checkpointed(gridded(groups.checkpointed(distinct_boxes), [image])), [image])
+    a, b = one.alias("a"), two.alias("b")
     box_a, box_b = (G.Box(*(F.col(f"{s}.{c}") for c in G.Box._fields)) for s in ("a", "b"))
     edges = (
         a.join(
             b,
             (F.col(f"a.{image}").eqNullSafe(F.col(f"b.{image}")))
-            & (F.col("a.cx") == F.col("b.cx"))
-            & (F.col("a.cy") == F.col("b.cy"))
+            & reduce(lambda x, y: x & y, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in CELL])
+            & (F.col("a._other") == F.col("b._block"))
+            & (F.col("a.native") | F.col("b.native"))
             & (F.col("a.node") < F.col("b.node"))
             & (G.iou(box_a, box_b) >= iou),
         )

@@ -7,8 +7,8 @@ it is not a plain join.  Two exact plans are used:
 * groups of ordinary size are gathered once (one shuffle) and decided by a
   fold over the sorted array, inside the JVM;
 * larger groups are spread over grid cells and decided in rounds.  A box that
-  beats every undecided box of all its cells is kept; it removes what it
-  overlaps there.  A cell has at most one such box per round, so a round is
+  beats every undecided box it may meet in its cells is kept; it removes what it
+  overlaps there.  Such boxes don't overlap, so a round is about
   linear in the boxes.  Where this no longer removes much, few overlaps are
   left: they become a conflict table, and a box is kept once no undecided
   better box conflicts with it.  Both steps only take decisions that the long
@@ -30,7 +30,7 @@ from boxloom.functions import geometry as G
 from boxloom.functions.codecs import let
 from boxloom.functions.text import class_key
 from boxloom.operators import groups
-from boxloom.operators.overlap import frame_box, gridded, once_per_pair, suppressor_box, without_overlapped
+from boxloom.operators.overlap import CELL, frame_box, gridded, once_per_pair, split_cells, suppressor_box, without_overlapped
 from boxloom.session import forget
 
 CORNERS = ["x1", "y1", "x2", "y2"]
@@ -247,10 +247,12 @@ def _first_of_groups(df: DataFrame, group: list[str], position: str, source: str
 
 
 def _sides(cells: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame, Column]:
-    """A cell table twice, as ``a`` and ``b``, and the condition "same group, same cell"."""
+    """A cell table twice, as ``a`` and ``b``, and the condition "same group, same cell, blocks that meet"."""
     same = [F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}")) for g in group]
-    same += [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("cx", "cy")]
-    return cells.alias("a"), cells.alias("b"), reduce(lambda x, y: x & y, same)
+    same += [F.col(f"a.{c}") == F.col(f"b.{d}") for c, d in (*zip(CELL, CELL), ("_other", "_block"))]
+    same.append(F.col("a.native") | F.col("b.native"))
+    a, b = split_cells(cells, group)
+    return a.alias("a"), b.alias("b"), reduce(lambda x, y: x & y, same)
 
 
 def _side_box(side: str) -> G.Box:
@@ -263,7 +265,7 @@ def _side_struct(side: str) -> Column:
 
 def _flag_enclosing(rows: DataFrame, group: list[str], position: str) -> DataFrame:
     """Set ``k0`` of large groups by the enclosing rule; overlaps are counted, not listed."""
-    a, o, same = _sides(gridded(rows, group), group)
+    a, o, same = _sides(groups.checkpointed(gridded(rows, group)), group)
     a = a.filter("by_enclosing")
     box_a, box_o = _side_box("a"), _side_box("b")
     once = once_per_pair(box_a, box_o, F.col("a.cell"), F.col("a.cx"), F.col("a.cy"))
@@ -291,17 +293,19 @@ def _suppress_in_rounds(
     """Exact greedy suppression of large groups; see the module text."""
     keys = [*group, position]
     narrow = rows.select(*keys, F.struct("k0", "k1", position).alias("rank"), *CORNERS, "t_iou", "t_min")
-    cells = groups.checkpointed(gridded(narrow, group, pad))
+    first = groups.checkpointed(_without_twins(narrow, group, overlap, position))
+    cells = groups.checkpointed(gridded(first, group, pad))
     kept: list[DataFrame] = []
-    pending, left = cells, narrow.count()
+    pending, left = cells, first.count()
     while left:
         winners = groups.checkpointed(_local_winners(pending, group, position))
         beaten = _beaten(pending, winners, keys, group, overlap, position)
-        decided = winners.select(*keys).unionByName(beaten)
+        won = winners.select(*keys).distinct()
+        decided = won.unionByName(beaten)
         before, pending = pending, groups.checkpointed(groups.join_null_safe(pending, decided, keys, "left_anti"))
         if before is not cells:
             forget(before)
-        kept.append(winners.select(*keys))
+        kept.append(won)
         now = pending.select(*keys).distinct().count()
         settled, left = left - now, now
         if settled < WORTHWHILE * (settled + left):
@@ -311,26 +315,35 @@ def _suppress_in_rounds(
     chosen = groups.checkpointed(reduce(DataFrame.unionByName, kept))
     out = groups.join_null_safe(rows, chosen, keys, "left_semi")
     if source is not None:
-        out = _with_merged_labels(out, rows, cells, chosen, group, overlap, position, source)
+        out = _with_merged_labels(out, rows, gridded(narrow, group, pad), chosen, group, overlap, position, source)
     return out.drop(*HELPERS)
 
 
+def _without_twins(narrow: DataFrame, group: list[str], overlap: Overlap, position: str) -> DataFrame:
+    """Best ranked of the boxes of one geometry: what suppresses it suppresses its twins, else it does so itself."""
+    me = F.struct(*CORNERS, "t_iou", "t_min")
+    hit = F.coalesce(overlap(me, me), F.lit(False))
+    best = narrow.filter(hit).groupBy(*group, *CORNERS, "t_iou", "t_min").agg(F.min("rank").alias("rank"))
+    best = best.withColumn(position, F.col("rank")[position])
+    return narrow.filter(~hit).unionByName(best.select(*narrow.columns))
+
+
 def _local_winners(cells: DataFrame, group: list[str], position: str) -> DataFrame:
-    """Boxes that rank first in every cell they touch, one row per cell."""
-    me = F.struct("rank", position, "cells", *CORNERS)
-    best = cells.groupBy(*group, "cx", "cy").agg(F.min_by(me, F.col("rank")).alias("w"))
-    won = best.groupBy(*group, F.col("w").alias("w")).agg(F.count(F.lit(1)).alias("won"), F.collect_list(F.struct("cx", "cy")).alias("at"))
-    return won.filter(F.col("won") == F.col("w.cells")).select(*group, "w.*", F.inline("at"))
+    """Boxes that rank before all they may meet in the cells they touch, one row per cell."""
+    keys = [*group, position]
+    best = cells.groupBy(*group, *CELL).agg(F.min("rank").alias("_best"), F.min(F.when(F.col("native"), F.col("rank"))).alias("_native"))
+    met = groups.join_null_safe(cells, best, [*group, *CELL])
+    first = F.when(F.col("native"), F.col("rank") <= F.col("_best")).otherwise(F.col("_native").isNull() | (F.col("rank") < F.col("_native")))
+    won = met.groupBy(*keys).agg(F.bool_and(first).alias("_won")).filter("_won").select(*keys)
+    return groups.join_null_safe(cells, won, keys, "left_semi")
 
 
 def _beaten(
     cells: DataFrame, winners: DataFrame, keys: list[str], group: list[str], overlap: Overlap, position: str
 ) -> DataFrame:
     """Boxes that a winner of one of their cells overlaps."""
-    sides = winners.select(
-        *group, "cx", "cy", F.col(position).alias("w_pos"), F.struct(*CORNERS).alias("w_box")
-    )
-    met = groups.join_null_safe(cells, sides, [*group, "cx", "cy"])
+    sides = winners.select(*group, *CELL, F.col("native").alias("w_native"), F.col(position).alias("w_pos"), F.struct(*CORNERS).alias("w_box"))
+    met = groups.join_null_safe(cells, sides, [*group, *CELL]).filter(F.col("native") | F.col("w_native"))
     me = F.struct(*CORNERS, "t_iou", "t_min")
     return met.filter((F.col("w_pos") != F.col(position)) & overlap(F.col("w_box"), me)).select(*keys).distinct()
 
@@ -373,12 +386,10 @@ def _with_merged_labels(
     keys = [*group, position]
     keepers = groups.join_null_safe(cells, chosen, keys, "left_semi")
     others = groups.join_null_safe(cells, chosen, keys, "left_anti")
-    sides = keepers.select(
-        *group, "cx", "cy", F.col("rank").alias("w_rank"), F.struct(*CORNERS).alias("w_box")
-    )
+    sides = keepers.select(*group, *CELL, F.col("native").alias("w_native"), F.col("rank").alias("w_rank"), F.struct(*CORNERS).alias("w_box"))
     me = F.struct(*CORNERS, "t_iou", "t_min")
-    met = groups.join_null_safe(others, sides, [*group, "cx", "cy"]).filter(
-        (F.col("w_rank") < F.col("rank")) & overlap(F.col("w_box"), me)
+    met = groups.join_null_safe(others, sides, [*group, *CELL]).filter(
+        (F.col("native") | F.col("w_native")) & (F.col("w_rank") < F.col("rank")) & overlap(F.col("w_box"), me)
     )
     owner = met.groupBy(*keys).agg(F.min("w_rank").alias("w_rank"), F.min("rank").alias("rank"))
     labelled = groups.join_null_safe(owner, rows.select(*keys, _labels(source).alias("labels")), keys)

@@ -9,7 +9,7 @@ from boxloom.functions import text as T
 from boxloom.operators import catalog as K
 from boxloom.operators import dataset as D
 from boxloom.operators import review
-from checks.publish import COMPACT, dirty_rows
+from checks.publish import COMPACT, SPLIT, dirty_rows
 from checks.registry import query
 from checks.views import table
 
@@ -90,19 +90,18 @@ def a6(spark, sf):
 
 @query(
     "w16_drift_bound",
-    f"""WITH c AS (SELECT DISTINCT im_id, c FROM ({COMPACT})), n AS (SELECT count(DISTINCT im_id) AS n FROM detections)
-    SELECT c AS concept, true AS bounded FROM c, n GROUP BY c""",
+    f"""WITH s AS ({SPLIT}), c AS (SELECT DISTINCT im_id AS row_id, c FROM ({COMPACT})),
+    n AS (SELECT count(*) AS n, count(*) FILTER (split = 'train') AS tr, count(*) FILTER (split = 'val') AS va, count(*) FILTER (split = 'test') AS te FROM s),
+    p AS (SELECT c.c AS concept, count(*) / CAST(any_value(n.n) AS DOUBLE) AS f, count(*) FILTER (split = 'train') / CAST(any_value(n.tr) AS DOUBLE) AS tr,
+      count(*) FILTER (split = 'val') / CAST(any_value(n.va) AS DOUBLE) AS va, count(*) FILTER (split = 'test') / CAST(any_value(n.te) AS DOUBLE) AS te
+      FROM c JOIN s USING (row_id), n GROUP BY c.c)
+    SELECT concept, round(f, 6) AS "full", round(tr, 6) AS train, round(va, 6) AS val, round(te, 6) AS test,
+      round(greatest(abs(tr - f), abs(va - f), abs(te - f)), 6) AS max_drift FROM p""",
 )
 def w16_drift(spark, sf):
-    """Each concept is as frequent in every split as overall, but for what a part of a block of ten can shift.
-
-    Every stratum deals its rows out in blocks of ten, so a split's rows of a concept
-    are off by one row per stratum at most from its share; sampling inside strata of other concepts adds noise.
-    """
-    rows = D.split_rows(dirty_rows(spark, sf))
-    n = rows.count()
-    drift = D.split_drift(rows)
-    return drift.select("concept", (F.col("max_drift") <= 0.05 + 12.0 / (n**0.5 + 10)).alias("bounded"))
+    """How frequent each concept is overall and in every part of the split, and the largest difference."""
+    drift = D.split_drift(D.split_rows(dirty_rows(spark, sf)))
+    return drift.select("concept", *[F.round(c, 6).alias(c) for c in ("full", "train", "val", "test", "max_drift")])
 
 
 @query(

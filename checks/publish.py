@@ -185,15 +185,15 @@ def a19(spark, sf):
     return D.split_shares(bucketed(spark, sf)).select("split", "rows", F.round("percent", 6).alias("percent"))
 
 
-@query(
-    "w16_split",
-    f"""WITH c AS (SELECT DISTINCT im_id, c FROM ({COMPACT})), n AS (SELECT c, count(*) AS s FROM c GROUP BY c),
+SPLIT = f"""WITH c AS (SELECT DISTINCT im_id, c FROM ({COMPACT})), n AS (SELECT c, count(*) AS s FROM c GROUP BY c),
     t AS (SELECT im_id, c AS stratum FROM (SELECT im_id, c.c, row_number() OVER (PARTITION BY im_id ORDER BY s, c.c) AS place FROM c JOIN n USING (c)) WHERE place = 1),
     r AS (SELECT d.im_id, coalesce(t.stratum, '') AS stratum FROM (SELECT DISTINCT im_id FROM detections) d LEFT JOIN t ON t.im_id = d.im_id),
     k AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY md5(im_id || '|42'), im_id) AS place FROM r),
     o AS (SELECT im_id, (place - 1 + CAST('0x' || substr(md5(stratum), 1, 4) AS INTEGER)) % 10 AS slot FROM k)
-    SELECT im_id AS row_id, CASE WHEN slot < 8 THEN 'train' WHEN slot = 8 THEN 'val' ELSE 'test' END AS split FROM o""",
-)
+    SELECT im_id AS row_id, CASE WHEN slot < 8 THEN 'train' WHEN slot = 8 THEN 'val' ELSE 'test' END AS split FROM o"""
+
+
+@query("w16_split", SPLIT)
 def w16(spark, sf):
     return D.split_rows(dirty_rows(spark, sf)).select("row_id", "split")
 

@@ -190,3 +190,16 @@ def test_rows_of_very_many_boxes(spark):
         assert out["boxes"] == ",".join(f"[{i},1,{i + 5},9]" for i in range(n // 2))
         assert [(r["rule"], r["count"]) for r in D.violations(row(n)).collect()] == [("duplicate_box", n // 2)]
     assert time.time() - begin < 60
+
+
+def test_split_drifts_less_than_a_random_one(spark):
+    """A concept of 40 rows among 4,000: the split deals it out almost exactly, one without strata doesn't."""
+    rows = [(i, "rare,ring" if i % 100 == 7 else ("ring" if i % 3 else "watch,belt")) for i in range(4000)]
+    df = spark.createDataFrame(rows, "row_id long, concepts string")
+    drift = {r["concept"]: r for r in D.split_drift(D.split_rows(df)).collect()}
+    # 32, 4 and 4 rows of 3,200, 400 and 400, but for one row of the stratum's last block.
+    assert drift["rare"]["max_drift"] <= 1.01 / 400 and all(r["max_drift"] < 0.01 for r in drift.values())
+    plain = F.pmod(F.crc32(F.col("row_id").cast("string").cast("binary")), F.lit(10))
+    split = F.when(plain < 8, "train").when(plain == 8, "val").otherwise("test")
+    loose = {r["concept"]: r["max_drift"] for r in D.split_drift(df.withColumn("split", split)).collect()}
+    assert max(loose.values()) > 2 * max(r["max_drift"] for r in drift.values())

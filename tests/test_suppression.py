@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from boxloom.operators import clusters
+from boxloom.operators import clusters, overlap
 from boxloom.operators import suppression as S
 
 SCHEMA = "im_id int, pos long, name string, x1 double, y1 double, x2 double, y2 double, score double, source string"
@@ -263,3 +263,42 @@ def test_thresholds_that_every_pair_reaches(spark, threshold, limit):
         if not any(i != j and a["im"] == b["im"] and a["name"] == "ring" and b["name"] in ("earring", "ring") for i, a in enumerate(boxes))
     ]
     assert kept(S.suppress_across_classes(df, {"ring": ["earring", "ring"]}, threshold, limit=limit)) == expected
+
+
+@pytest.mark.parametrize("keep", ["keep biggest", "keep_smaller_if_encloses_multiple"])
+def test_crowded_cells_match_brute_force(spark, monkeypatch, keep):
+    """Cells cut into blocks of a few boxes, conflicts listed from the second round on."""
+    monkeypatch.setattr(overlap, "CELL_ROWS", 8)
+    monkeypatch.setattr(S, "WORTHWHILE", 2.0)
+    boxes = crowd(150, 41, span=30)
+    out = S.suppress_by_policy(frame(spark, boxes), {"general": S.Policy(0.4, 0.7, keep)}, limit=10).collect()
+    expected = brute_greedy(
+        boxes, KEYS[keep], lambda a, b: iou(a, b)[0] >= 0.4 or iou(a, b)[1] >= 0.7, lambda b: (b["im"], b["name"])
+    )
+    assert {r["pos"]: r["source"] for r in out} == expected
+
+
+def test_crowded_cells_of_clusters_and_other_classes(spark, monkeypatch):
+    monkeypatch.setattr(overlap, "CELL_ROWS", 8)
+    boxes = crowd(120, 43, span=30)
+    out = clusters.overlap_clusters(frame(spark, boxes), 0.5, limit=10).collect()
+    assert {r["pos"]: r["cluster_id"] for r in out} == brute_clusters(boxes, 0.5)
+    df = frame(spark, boxes)
+    classes = {"ring": ["earring", "ring"]}
+    assert kept(S.suppress_across_classes(df, classes, 0.3, limit=10)) == kept(S.suppress_across_classes(df, classes, 0.3))
+
+
+def test_one_crowded_spot_beside_huge_boxes(spark):
+    """3,000 boxes on one spot and a few of a thousand times their size: cells follow the boxes in them."""
+    rng = random.Random(7)
+    boxes = [{"name": "ring", "box": [x := rng.randint(0, 40), y := rng.randint(0, 40), x + rng.randint(15, 25), y + rng.randint(15, 25)], "source": "m"} for _ in range(3000)]
+    boxes += [{"name": "ring", "box": [0, 5000 * i, 40000, 5000 * i + 4000], "source": "m"} for i in range(1, 4)]
+    cells = overlap.gridded(frame(spark, boxes), ["im_id"]).filter("native and x2 < 100")
+    assert cells.groupBy("pos").count().agg({"count": "max"}).first()[0] <= 9 and {r["cell"] for r in cells.select("cell").distinct().collect()} <= {16.0, 32.0}
+    got = kept(S.suppress_by_policy(frame(spark, boxes), {"general": S.Policy()}))
+    kept_boxes, expected = [], []
+    for pos, b in sorted(enumerate(boxes, 1), key=lambda m: (-size(m[1]), m[0])):
+        if not any(max(iou(k, b["box"])) >= 0.7 for k in kept_boxes):
+            kept_boxes.append(b["box"])
+            expected.append(pos)
+    assert got == sorted(expected)
