@@ -19,11 +19,12 @@ from boxloom.sources.paths import claimed, claimed_number, deleted, listed, path
 
 RUN = "_run"
 BUCKET = "_bucket"
-BUCKETS = 64
+# Enough for stores of a few GB; give large stores more, so that a bucket stays a few scan tasks.
+BUCKETS = 16
 
 
 class ResultStore:
-    """Append-only table of model results with key columns, in ``buckets`` partitions."""
+    """Append-only table of model results with key columns, in ``buckets`` partitions (more of them for large stores)."""
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = BUCKETS):
         self.spark, self.path, self.keys = spark, path, keys
