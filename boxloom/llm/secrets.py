@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -156,38 +157,37 @@ class Tagger:
         self.steps = np.zeros((N_TAGS, N_TAGS))
         self.known = False
 
-    def fit(self, features: np.ndarray, tags: np.ndarray, lengths: np.ndarray, rounds: int = 120, penalty: float = 1e-4) -> Tagger:
-        """``features`` are padded sequences (sequence, place, feature); ``tags`` and ``lengths`` go with them."""
+    def fit(
+        self, features: np.ndarray, tags: np.ndarray, lengths: np.ndarray, rounds: int = 120, penalty: float = 1e-4, settled: float = 2e-3
+    ) -> Tagger:
+        """``features`` are padded sequences (sequence, place, feature); ``tags`` and ``lengths`` go with them.
+
+        Ends after ``rounds`` steps, or when ten steps lowered the loss by less than the share ``settled``.
+        """
         if not len(tags) or not (tags > 0).any():
             return self
         self.known = True
-        n, width = tags.shape
-        inside = np.arange(width)[None, :] < lengths[:, None]
+        # Places first: each step of a sequence is one block of memory.
+        features, tags = np.ascontiguousarray(features.transpose(1, 0, 2)), np.ascontiguousarray(tags.T)
+        inside = np.arange(len(tags))[:, None] < lengths[None, :]
         total = inside.sum()
         state = [np.zeros((2, *self.weights.shape)), np.zeros((2, *self.steps.shape))]
         truth = np.eye(N_TAGS)[tags] * inside[..., None]
-        pairs = inside[:, 1:]
-        true_steps = np.einsum("nti,ntj->ij", truth[:, :-1] * pairs[..., None], truth[:, 1:])
+        true_steps = np.einsum("tni,tnj->ij", truth[:-1] * inside[1:, :, None], truth[1:])
+        flat = features[inside]
+        losses: list[float] = []
         for turn in range(1, rounds + 1):
-            scores = self.weights[features].sum(axis=2) * inside[..., None]
-            ahead, back = np.zeros((n, width, N_TAGS)), np.zeros((n, width, N_TAGS))
-            ahead[:, 0] = scores[:, 0]
-            for t in range(1, width):
-                step = _log_sum(ahead[:, t - 1, :, None] + self.steps, axis=1) + scores[:, t]
-                ahead[:, t] = np.where(inside[:, t, None], step, ahead[:, t - 1])
-            for t in range(width - 2, -1, -1):
-                step = _log_sum(self.steps[None] + (scores[:, t + 1] + back[:, t + 1])[:, None, :], axis=2)
-                back[:, t] = np.where(inside[:, t + 1, None], step, 0)
-            whole = _log_sum(ahead[:, -1], axis=1)
-            chance = np.exp(np.clip(ahead + back - whole[:, None, None], -60, 0)) * inside[..., None]
-            joint = ahead[:, :-1, :, None] + self.steps + (scores + back)[:, 1:, None, :] - whole[:, None, None, None]
-            joint = np.exp(np.clip(joint, -60, 0)) * pairs[..., None, None]
+            scores = np.zeros((*tags.shape, N_TAGS))
+            scores[inside] = sum(self.weights[flat[:, column]] for column in range(flat.shape[1]))
+            chance, joint, whole = chances(scores, self.steps, inside)
+            losses.append(float(whole.sum() - (truth * scores).sum() - (true_steps * self.steps).sum()) / total)
+            if turn > 10 and losses[-11] - losses[-1] < settled * abs(losses[-11]):
+                break
             by_token = (truth - chance)[inside]
             by_weight = np.zeros_like(self.weights)
-            flat = features[inside]
             for tag in range(N_TAGS):
                 by_weight[:, tag] = np.bincount(flat.ravel(), weights=np.repeat(by_token[:, tag], flat.shape[1]), minlength=N_WEIGHTS)
-            gradients = (by_weight / total - penalty * self.weights, (true_steps - joint.sum(axis=(0, 1))) / total - penalty * self.steps)
+            gradients = (by_weight / total - penalty * self.weights, (true_steps - joint) / total - penalty * self.steps)
             for own, memory, g in zip((self.weights, self.steps), state, gradients, strict=True):
                 memory[0] = 0.9 * memory[0] + 0.1 * g
                 memory[1] = 0.99 * memory[1] + 0.01 * g * g
@@ -237,9 +237,26 @@ class Tagger:
         return path
 
 
-def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis=axis, keepdims=True)
-    return np.log(np.exp(x - top).sum(axis=axis)) + top.squeeze(axis)
+def chances(scores: np.ndarray, steps: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Chance of each tag (place, sequence, tag), expected number of each step (tag, tag), log of each sequence's whole sum.
+
+    ``inside`` (place, sequence) marks the places of a sequence, which has at least one.  Sums are scaled to one at each place.
+    """
+    top = scores.max(axis=2, keepdims=True)
+    own = np.exp(scores - top)
+    change = np.exp(steps - steps.max())
+    ahead, back, scale = np.empty_like(own), np.ones_like(own), np.ones(inside.shape)
+    for t in range(len(own)):
+        value = own[t] if t == 0 else (ahead[t - 1] @ change) * own[t]
+        scale[t] = np.where(inside[t], value.sum(axis=1), 1)
+        ahead[t] = np.where(inside[t, :, None], value / scale[t][:, None], ahead[t - 1] if t else value)
+    joint = np.zeros_like(steps)
+    for t in range(len(own) - 2, -1, -1):
+        later = own[t + 1] * back[t + 1] / scale[t + 1][:, None] * inside[t + 1, :, None]
+        joint += change * (ahead[t].T @ later)
+        back[t] = np.where(inside[t + 1, :, None], later @ change.T, 1)
+    whole = (np.log(scale) + top[..., 0] * inside).sum(axis=0) + steps.max() * (inside.sum(axis=0) - 1)
+    return ahead * back * inside[..., None], joint, whole
 
 
 def _base_tags(block: W.Block, points: np.ndarray, found: dict[int, list[Span]]) -> np.ndarray:
@@ -291,11 +308,44 @@ def _lesson_rows(per_row: int):
     return step
 
 
-def learned_tagger(images: DataFrame, most_rows: int = 8000) -> Tagger:
-    """Tagger learned from the base spans of at most ``most_rows`` rows, one of each id, those first by a hash of their id."""
-    ids = images.select("im_id").dropna().distinct()
-    ids = checkpointed(ids.orderBy(F.xxhash64(F.col("im_id").cast("string"), F.lit(29)), "im_id").limit(most_rows))
-    rows = one_of_each(described(images).join(F.broadcast(ids), "im_id", "left_semi"), "im_id").select("im_id", "im_description")
+def _kind_rows(batches: Batches) -> Batches:
+    """Id, hash and kind of base span of each row, once per kind that it has; kind -1 for rows without any."""
+    for batch in batches:
+        for block in W.blocks(batch.column(1), _TOKEN):
+            found = block_spans(block, code_points(block))
+            at, kinds = [], []
+            for row in range(block.n_rows):
+                for kind in sorted({k for _, _, k in found.get(row, [])}) or [-1]:
+                    at.append(block.first + row)
+                    kinds.append(kind)
+            take = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(take), batch.column(2).take(take), pa.array(kinds, pa.int32())], names=["im_id", "hash", "kind"]
+            )
+
+
+def lesson_sample(images: DataFrame, most_rows: int) -> DataFrame:
+    """Rows to learn from: ``im_id``, ``im_description``.
+
+    Base spans are looked for in all rows.  Of the ids that have some of one kind, a sixth of ``most_rows`` is taken for each of the three kinds, of those without any
+    half of it, both in the order of a hash of the id.  An id gives one text per kind, that with the least hash.
+    """
+    rows = described(images).filter(F.col("im_id").isNotNull()).withColumn("hash", F.xxhash64("im_description"))
+    kind = images.schema["im_id"].dataType.simpleString()
+    found = in_tasks(rows, _kind_rows, f"im_id {kind}, hash bigint, kind int")
+    # Ids, hashes and kinds only; read once for each kind.
+    found = checkpointed(found.groupBy("im_id", "kind").agg(F.min("hash").alias("hash")))
+    by = [F.xxhash64(F.col("im_id").cast("string"), F.lit(29)), F.col("im_id")]
+    shares = {-1: most_rows // 2, **dict.fromkeys(range(3), most_rows // 6)}
+    taken = [found.filter(F.col("kind") == k).orderBy(*by).limit(n).select("im_id", "hash") for k, n in shares.items()]
+    # At most most_rows rows, so the broadcast has a bound.
+    taken = checkpointed(reduce(DataFrame.unionByName, taken).distinct())
+    return one_of_each(rows.join(F.broadcast(taken), ["im_id", "hash"], "left_semi"), "im_id", "hash").select("im_id", "im_description")
+
+
+def learned_tagger(images: DataFrame, most_rows: int = 4800) -> Tagger:
+    """Tagger learned from at most ``most_rows`` rows, half of them with base spans where there are enough (``lesson_sample``)."""
+    rows = lesson_sample(images, most_rows)
     lessons = in_tasks(rows, _lesson_rows(4), "features array<int>, tags array<int>").toPandas()
     if lessons.empty:
         return Tagger()
@@ -347,16 +397,16 @@ def spans_of(images: DataFrame, tagger: Tagger) -> DataFrame:
     return in_tasks(described(images), _span_rows(shared), schema)
 
 
-def secret_spans(images: DataFrame, most_rows: int = 8000) -> DataFrame:
+def secret_spans(images: DataFrame, most_rows: int = 4800) -> DataFrame:
     """Secrets in image descriptions.
 
     ``images`` has ``im_id`` and ``im_description``.  Base spans are the matches of three fixed patterns (``assign``,
     ``access``, ``hex``); all of them stay.  A linear-chain conditional random field, learned from the base spans of at
-    most ``most_rows`` rows, tags the tokens of every text as begin, inside or outside from their shape, the words around
+    most ``most_rows`` rows (base spans are found in all rows first, and each kind gives its share), tags the tokens of every text as begin, inside or outside from their shape, the words around
     and the text's length and digits; its Viterbi path adds ``tagged`` spans that touch no base span.
 
     One row per input row: ``im_id``, ``im_description`` and ``spans``, an array of (kind, start, end) in code points, end exclusive, by
-    start, then kind.  NULL and empty texts have none.  Without any base span in the learned rows nothing is added.
+    start, then kind.  NULL and empty texts have none.  Without any base span in the table nothing is added.
     """
     return spans_of(images, learned_tagger(images, most_rows))
 

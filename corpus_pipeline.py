@@ -7,7 +7,7 @@ copies keeps one row of each id and all rows without an id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxloom.llm.decontamination import held_out_hits
@@ -45,9 +45,12 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     groups = near_copy_groups(images(docs))
     gone = groups.filter(F.col("im_id") != F.col("component")).select(F.col("im_id").alias("doc_id")).distinct()
     kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
-    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars"))
-    named = kept.filter(F.col("doc_id").isNotNull()).withColumn("_number", number).filter(F.col("_number") == 1).drop("_number")
-    return named.unionByName(docs.select(*COLUMNS).filter(F.col("doc_id").isNull()))
+    named = kept.filter(F.col("doc_id").isNotNull())
+    # Ids only; texts meet just where an id repeats, in an aggregate that combines before the shuffle.
+    repeated = checkpointed(named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("doc_id"))
+    first = named.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("r"))
+    once = named.join(repeated, "doc_id", "left_anti").unionByName(first.select("doc_id", "r.*"))
+    return once.unionByName(docs.select(*COLUMNS).filter(F.col("doc_id").isNull()))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
