@@ -9,6 +9,7 @@ from boxloom.functions import codecs as C
 from boxloom.operators import dataset as D
 from boxloom.operators import gallery
 from boxloom.operators.rollup import gathered
+from boxloom.operators.strata import stratified_split
 from checks.registry import query
 from checks.views import detections, table
 
@@ -198,6 +199,12 @@ def w16(spark, sf):
     return D.split_rows(dirty_rows(spark, sf)).select("row_id", "split")
 
 
+@query("w16_stratified")
+def w16_stratified(spark, sf):
+    """Iterative stratification; its rounds have no SQL form, tests hold it against a plain walk over rows."""
+    return stratified_split(dirty_rows(spark, sf)).select("row_id", "split")
+
+
 @query(
     "f18_fix_precision",
     f"""SELECT r.im_id AS row_id, coalesce(string_agg(c, ',' ORDER BY pos), '') AS concepts, coalesce(string_agg(b, ',' ORDER BY pos), '') AS boxes,
