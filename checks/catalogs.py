@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,9 @@ from boxloom.functions import codecs as C
 from boxloom.functions import text as T
 from boxloom.operators import catalog as K
 from boxloom.operators import gallery
+from boxloom.session import checkpoint_dir
+from boxloom.sources.ranges import read_large_catalog
+from boxloom.sources.sinks import write_csv
 from checks.registry import query
 from checks.views import content, detections, exclusions, images, products, table
 
@@ -407,3 +412,17 @@ def f23(spark, sf):
 def f24(spark, sf):
     p = products(spark, sf).withColumn("catalog_name", F.col("gender"))
     return gallery.matching_catalog_rows(p, "Men", "Ring").select("product_id")
+
+
+@query(
+    "s2_large_csv",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS im_id, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos,
+      CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 'ring, "' || o_orderstatus || '"' || chr(10) || o_orderpriority END AS im_description FROM orders""",
+)
+def s2_large_csv(spark, sf):
+    """Catalog file with quoted line ends, written from a table and read back by ranges, in order."""
+    text = F.concat(F.lit('ring, "'), F.col("o_orderstatus"), F.lit('"\n'), F.col("o_orderpriority"))
+    rows = table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 5 != 0, text).alias("im_description"))
+    path = f"{checkpoint_dir(spark)}/catalogs/{uuid.uuid4().hex}"
+    write_csv(rows.select(F.col("o_orderkey").alias("im_id"), "im_description").orderBy("im_id"), path)
+    return read_large_catalog(spark, path).select("im_id", "pos", "im_description")
